@@ -40,3 +40,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few large pieces to all cores.
+
+    For a table read from storage whose files do not split into enough pieces
+    for the cores (one file, one row group) before costly work on its texts.
+    A table of many pieces is left as it is, so large inputs are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
