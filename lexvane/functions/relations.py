@@ -12,18 +12,21 @@ from __future__ import annotations
 import ast
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAIRS = "array<struct<from_id:bigint,to_id:bigint>>"
 
 _QUOTED = r"""(?:'[^'"{}\\\r\n\x00]*+'|"[^'"{}\\\r\n\x00]*+")"""
-_PLAIN = r"(?:0|-?[1-9][0-9]{0,17})"
+_PLAIN = r"(?:0|-?[1-9][0-9]{0,17}|-?(?:0|[1-9][0-9]{0,14})\.[0-9]{1,15})(?![0-9.eEjJ_])"
 _FIELD = rf"{_QUOTED}[ \t]*+:[ \t]*+(?:{_PLAIN}|{_QUOTED})[ \t]*+"
 # One flat mapping with the blanks around it.
 _ITEM = rf"[ \t]*+\{{[ \t]*+(?:{_FIELD}(?:,[ \t]*+{_FIELD})*+)?\}}[ \t]*+"
 _MARK = "\x01"
 _INT_TEXT = r"^[ \t]*[+-]?[0-9]{1,18}[ \t]*$"
+_DECIMAL = r"^-?[0-9.]+(E-?[0-9]+)?$"
+# A decimal in quotes is no id, one without quotes is: left to the helper.
+_QUOTED_DECIMAL = r"""['"][ \t]*[+-]?[0-9]*\.[0-9]*[ \t]*['"]"""
 # Digits of other scripts and digit groups are numbers to Python only.
 _ODD_NUMBER = r"[_\P{ASCII}]"
 
@@ -38,31 +41,44 @@ def _plain_shape(relations: Column) -> Column:
     skeleton = F.trim(F.regexp_replace(relations, _ITEM, _MARK))
     between = F.replace(skeleton, F.lit("," + _MARK), F.lit(""))
     one_or_more = F.startswith(skeleton, F.lit("[" + _MARK)) & (between == f"[{_MARK}]")
-    return ~F.contains(relations, F.lit(_MARK)) & ((skeleton == "[]") | one_or_more)
+    unclear = F.contains(relations, F.lit(_MARK)) | relations.rlike(_QUOTED_DECIMAL)
+    return ~unclear & ((skeleton == "[]") | one_or_more)
 
 
-def _read_plain(relations: Column) -> Column:
-    """Array of raw id texts; only meaningful for the plain shape."""
-    return F.from_json(relations, "array<struct<from_id:string,to_id:string>>")
+def _plain_text_ids(relations: Column) -> Column:
+    """Array of id texts for the plain shape, else null."""
+    listed = F.from_json(relations, "array<struct<from_id:string,to_id:string>>")
+    return F.when(_plain_shape(relations), listed)
 
 
-def plain_relations(relations: Column) -> Column:
-    """Pairs of ids for lists of the plain shape, null for every other text."""
-    raw = _read_plain(relations)
-    odd = F.exists(
+def _has_odd_number(raw: Column) -> Column:
+    return F.exists(
         raw,
         lambda e: F.coalesce(e["from_id"].rlike(_ODD_NUMBER), F.lit(False))
         | F.coalesce(e["to_id"].rlike(_ODD_NUMBER), F.lit(False)),
     )
 
+
+def _as_pairs(raw: Column) -> Column:
     def as_id(value: Column) -> Column:
-        return F.when(value.rlike(_INT_TEXT), F.trim(F.replace(value, F.lit("\t"))).try_cast("bigint"))
+        whole = F.trim(F.replace(value, F.lit("\t"))).try_cast("bigint")
+        truncated = value.try_cast("double").try_cast("bigint")
+        return F.when(value.rlike(_INT_TEXT), whole).when(value.rlike(_DECIMAL), truncated)
 
     pairs = F.transform(
         raw, lambda e: F.struct(as_id(e["from_id"]).alias("from_id"), as_id(e["to_id"]).alias("to_id"))
     )
-    known = F.filter(pairs, lambda e: e["from_id"].isNotNull() & e["to_id"].isNotNull())
-    return F.when(_plain_shape(relations) & raw.isNotNull() & ~odd, known)
+    return F.filter(pairs, lambda e: e["from_id"].isNotNull() & e["to_id"].isNotNull())
+
+
+def with_plain_relations(df: DataFrame, relations_col: str, out: str) -> DataFrame:
+    """Add the pairs of ids for texts of the plain shape, null for all others; JVM only.
+
+    Steps are columns of their own, so that each is computed once.
+    """
+    staged = df.withColumn("_raw", _plain_text_ids(F.col(relations_col)))
+    pairs = F.when(~_has_odd_number(F.col("_raw")), _as_pairs(F.col("_raw")))
+    return staged.withColumn(out, pairs).drop("_raw")
 
 
 def _literal_relations(texts: Column) -> Column:
@@ -99,13 +115,16 @@ def _literal_relations(texts: Column) -> Column:
     return read(texts)
 
 
-def parse_relations(relations: Column) -> Column:
-    """Array of ``(from_id, to_id)`` in list order; never null.
+def with_relations(df: DataFrame, relations_col: str, out: str) -> DataFrame:
+    """Add the array of ``(from_id, to_id)`` in list order; never null.
 
     Rows of the plain shape send only a null to the Python helper.
     """
-    plain = plain_relations(relations)
-    blank = F.coalesce(F.trim(relations) == "", F.lit(True))
-    rest = F.when(plain.isNull() & ~blank, relations)
+    text, plain = F.col(relations_col), F.col("_plain")
+    blank = F.coalesce(F.trim(text) == "", F.lit(True))
+    staged = with_plain_relations(df, relations_col, "_plain").withColumn(
+        "_rest", F.when(plain.isNull() & ~blank, text)
+    )
+    found = F.coalesce(plain, _literal_relations(F.col("_rest")))
     empty = F.array().cast(PAIRS)
-    return F.when(blank, empty).otherwise(F.coalesce(plain, _literal_relations(rest), empty))
+    return staged.withColumn(out, F.when(blank, empty).otherwise(found)).drop("_plain", "_rest")

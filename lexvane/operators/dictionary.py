@@ -37,7 +37,8 @@ def _answered(names: DataFrame, answers: DataFrame, min_length: int) -> DataFram
 def alias_expansion(names: DataFrame, answers: DataFrame, min_length: int = 4) -> DataFrame:
     """Distinct alias terms ``(term)`` of names, looked up in ``answers(name, content)``."""
     found = _answered(names, answers, min_length)
-    return found.select(F.explode("aliases").alias("term")).distinct()
+    terms = found.select(F.explode_outer("aliases").alias("term"))
+    return terms.filter(F.col("term").isNotNull()).distinct()
 
 
 def expand_terms(terms: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -32,8 +32,13 @@ def max_degree(relations: Column, nodes: Column) -> Column:
 
 
 def explode_relations(df: DataFrame, id_col: str, relations: Column) -> DataFrame:
-    """Edges table ``(id_col, pos, from_id, to_id)`` in list order, repeats kept."""
-    return df.select(id_col, F.posexplode(relations).alias("pos", "_e")).select(
+    """Edges table ``(id_col, pos, from_id, to_id)`` in list order, repeats kept.
+
+    Empty lists are dropped after the explosion: testing for them before it
+    would parse every list twice.
+    """
+    rows = df.select(id_col, F.posexplode_outer(relations).alias("pos", "_e"))
+    return rows.filter(F.col("pos").isNotNull()).select(
         id_col, "pos", F.col("_e.from_id").alias("from_id"), F.col("_e.to_id").alias("to_id")
     )
 

@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexvane.functions.text import NON_WORD, fill_text
-from lexvane.operators.dictionary import minimal_terms, usable_terms
+from lexvane.operators.dictionary import minimal_terms
+from lexvane.storage import written
 
 SCAN_TERMS = 100
 BROADCAST_TERMS = 1_000_000
@@ -106,13 +107,19 @@ def anchored_terms(terms: DataFrame, whole_word: bool = False) -> DataFrame:
     )
 
 
-def _shapes(index: DataFrame) -> list[tuple[str, int]]:
-    """Marks (``~`` for none) and lengths of the anchors in use; at most 3 * ANCHOR_LENGTH + 1 rows."""
+def _profile(index: DataFrame) -> list:
+    """What the index holds: one row ``(one_word, mark, n, terms, bytes)`` per kind of anchor.
+
+    Marks are ``=``, ``<`` and ``>``, empty for unmarked anchors, and null for
+    terms without an anchor; ``n`` is the number of characters. There are at
+    most some 4 * ANCHOR_LENGTH kinds.
+    """
     first = F.left("anchor", F.lit(1))
-    mark = F.when(first.isin("=", "<", ">"), first).otherwise("~")
-    size = F.when(mark == "=", 0).when(mark == "~", F.length("anchor")).otherwise(F.length("anchor") - 1)
-    shape = index.select(mark.alias("m"), size.alias("n"))
-    return sorted((r["m"], r["n"]) for r in shape.distinct().collect())
+    mark = F.when(F.col("anchor").isNull(), None).when(first.isin("=", "<", ">"), first).otherwise("")
+    n = F.when(mark == "=", 0).otherwise(F.length("anchor") - F.length(mark))
+    kinds = index.select("one_word", mark.alias("mark"), n.alias("n"), F.octet_length("term").alias("b"))
+    counted = kinds.groupBy("one_word", "mark", "n").agg(F.count(F.lit(1)).alias("terms"), F.sum("b").alias("bytes"))
+    return sorted(counted.collect(), key=str)
 
 
 def _with_grams(words: DataFrame, sizes: list[int]) -> DataFrame:
@@ -130,17 +137,16 @@ def _with_grams(words: DataFrame, sizes: list[int]) -> DataFrame:
     return keyed.filter(F.length("_key").isin(sizes))
 
 
-def _with_word_keys(words: DataFrame, index: DataFrame) -> DataFrame:
-    """Add ``_key``: the anchors of the index a word can answer to, one a row.
+def _with_word_keys(words: DataFrame, kinds: list) -> DataFrame:
+    """Add ``_key``: the anchors of these kinds a word can answer to, one a row.
 
-    The index holds either unmarked anchors only, or marked ones only.
+    The kinds are either all unmarked or all marked.
     """
-    shapes = _shapes(index)
-    sizes = [n for mark, n in shapes if mark == "~"]
+    sizes = [k["n"] for k in kinds if k["mark"] == ""]
     if sizes:
         return _with_grams(words, sizes)
     word, keys = F.col("_word"), []
-    for mark, n in shapes:
+    for mark, n in ((k["mark"], k["n"]) for k in kinds):
         if mark == "=":
             keys.append(F.concat(F.lit(mark), word))
         else:
@@ -178,6 +184,12 @@ def _scan_hits(texts: DataFrame, terms: DataFrame, id_col: str, whole_word: bool
     return texts.join(F.broadcast(terms), hit, "left_semi").select(id_col)
 
 
+def _scan_rest(texts: DataFrame, terms: DataFrame, whole_word: bool) -> DataFrame:
+    """Texts without any of a few broadcast terms."""
+    hit = _holds(F.col("_text"), F.col("term"), whole_word)
+    return texts.join(F.broadcast(terms), hit, "left_anti")
+
+
 def _salted(index: DataFrame) -> DataFrame:
     return index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
@@ -187,24 +199,24 @@ def _salt_of(id_col: str) -> Column:
     return F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int").alias("_salt")
 
 
-def _one_word_hits(texts, index, id_col, whole_word, clean, shuffled) -> DataFrame:
+def _one_word_hits(texts, index, kinds, id_col, whole_word, clean, shuffled) -> DataFrame:
     same = _holds(F.col("_word"), F.col("term"), whole_word)
     words = _words(texts, id_col, clean)
     if not shuffled:
-        keyed = _with_word_keys(words, index)
+        keyed = _with_word_keys(words, kinds)
         return keyed.join(F.broadcast(index), F.col("_key") == F.col("anchor")).filter(same).select(id_col)
     vocabulary = words.select("_word").distinct()
-    keyed = _with_word_keys(vocabulary, index)
+    keyed = _with_word_keys(vocabulary, kinds)
     found = keyed.join(index, F.col("_key") == F.col("anchor")).filter(same).select("_word").distinct()
     placed = words.withColumn("_salt", _salt_of(id_col))
     return placed.join(_salted(found), ["_word", "_salt"], "left_semi").select(id_col)
 
 
-def _phrase_hits(texts, index, id_col, whole_word, clean, shuffled) -> DataFrame:
+def _phrase_hits(texts, index, kinds, id_col, whole_word, clean, shuffled) -> DataFrame:
     holds = _holds(F.col("_text"), F.col("term"), whole_word)
     near = F.endswith("_prev", F.col("before")) & F.startswith("_next", F.col("after"))
     windows = _windows(texts, id_col, clean, () if shuffled else ("_text",))
-    keyed = _with_word_keys(windows, index)
+    keyed = _with_word_keys(windows, kinds)
     if not shuffled:
         # The neighbours decide first: comparing whole texts is the dear part.
         hit = F.when(near, holds).otherwise(False)
@@ -218,27 +230,41 @@ def _phrase_hits(texts, index, id_col, whole_word, clean, shuffled) -> DataFrame
 
 def _indexed_hits(texts, terms, id_col, whole_word, clean, shuffled) -> DataFrame:
     index = anchored_terms(terms, whole_word)
+    kinds = _profile(index)
+    one = [k for k in kinds if k["mark"] is not None and k["one_word"]]
+    more = [k for k in kinds if k["mark"] is not None and not k["one_word"]]
+    loose = [k for k in kinds if k["mark"] is None]
     anchored = F.col("anchor").isNotNull()
-    kinds = {
-        "one": index.filter(anchored & F.col("one_word")).select("term", "anchor"),
-        "more": index.filter(anchored & ~F.col("one_word")).select("term", "anchor", "before", "after"),
-        "loose": index.filter(~anchored).select("term"),
-    }
-    present = index.agg(
-        F.count_if(anchored & F.col("one_word")),
-        F.count_if(anchored & ~F.col("one_word")),
-        F.count_if(~anchored),
-        F.coalesce(F.sum(F.when(~anchored, F.octet_length("term"))), F.lit(0)),
-    ).first()
+
+    # Short anchors occur in most texts and file too much; while they are few,
+    # their terms are scanned, and only texts without such a term go on.
+    def weak(k) -> bool:
+        return bool(k["mark"] is not None and k["mark"] != "=" and k["n"] < ANCHOR_LENGTH)
+
+    short = [k for k in kinds if weak(k)]
+    settled = None
+    if short and sum(k["terms"] for k in short) <= SCAN_TERMS:
+        bare = F.regexp_replace("anchor", "^[=<>]", "")
+        is_weak = anchored & ~F.startswith("anchor", F.lit("=")) & (F.length(bare) < ANCHOR_LENGTH)
+        few = index.filter(is_weak).select("term")
+        settled = _scan_hits(texts, few, id_col, whole_word)
+        texts = _scan_rest(texts, few, whole_word)
+        index = index.filter(~F.coalesce(is_weak, F.lit(False)))
+        one, more = ([k for k in ks if not weak(k)] for ks in (one, more))
+    how = (id_col, whole_word, clean, shuffled)
     parts = []
-    if present[0]:
-        parts.append(_one_word_hits(texts, kinds["one"], id_col, whole_word, clean, shuffled))
-    if present[1]:
-        parts.append(_phrase_hits(texts, kinds["more"], id_col, whole_word, clean, shuffled))
-    if present[2]:
-        if present[2] > BROADCAST_TERMS or present[3] > BROADCAST_BYTES:
+    if one:
+        filed = index.filter(anchored & F.col("one_word")).select("term", "anchor")
+        parts.append(_one_word_hits(texts, filed, one, *how))
+    if more:
+        filed = index.filter(anchored & ~F.col("one_word")).drop("one_word")
+        parts.append(_phrase_hits(texts, filed, more, *how))
+    if loose:
+        if sum(k["terms"] for k in loose) > BROADCAST_TERMS or sum(k["bytes"] for k in loose) > BROADCAST_BYTES:
             raise ValueError("too many terms without any word character to broadcast")
-        parts.append(_scan_hits(texts, kinds["loose"], id_col, whole_word))
+        parts.append(_scan_hits(texts, index.filter(~anchored).select("term"), id_col, whole_word))
+    if settled is not None:
+        parts.append(settled)
     if not parts:
         return texts.select(id_col).filter(F.lit(False))
     return reduce(DataFrame.union, parts).distinct()
@@ -313,8 +339,11 @@ def dictionary_flag(
     plan: str = "auto",
     whole_word: bool = False,
 ) -> DataFrame:
-    """Flag cleaned texts, after leaving out terms that cannot change a flag."""
-    needed = minimal_terms(terms, True, whole_word)
+    """Flag cleaned texts, after leaving out terms that cannot change a flag.
+
+    The remaining terms are written once; measuring and matching read them back.
+    """
+    needed = written(minimal_terms(terms, True, whole_word), "terms")
     return flag_matches(docs, needed, id_col, clean_col, flag, plan, whole_word, True)
 
 
@@ -327,6 +356,10 @@ def gazetteer_flag(
     flag: str = "has_info_entities",
     plan: str = "auto",
 ) -> DataFrame:
-    """Flag raw texts naming an entity of the wanted types; case matters."""
-    names = usable_terms(entities.filter(F.col("type").isin(*types)).select(F.col("name").alias("term")))
-    return flag_matches(docs, names, id_col, text_col, flag, plan)
+    """Flag raw texts naming an entity of the wanted types; case matters.
+
+    Names holding another name cannot change a flag and are left out.
+    """
+    named = entities.filter(F.col("type").isin(*types)).select(F.col("name").alias("term"))
+    needed = written(minimal_terms(named, on_clean_text=False), "names")
+    return flag_matches(docs, needed, id_col, text_col, flag, plan)

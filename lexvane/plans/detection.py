@@ -22,7 +22,7 @@ from lexvane.config import (
     TOTAL_EDGES,
     DetectionConfig,
 )
-from lexvane.functions.relations import PAIRS, parse_relations
+from lexvane.functions.relations import PAIRS, with_relations
 from lexvane.functions.text import clean_text, contains_any
 from lexvane.operators.dictionary import build_terms, malware_names, minimal_terms, terms_as_text
 from lexvane.operators.entities import any_malware, derive_label, entity_array, group_width, malware_ids
@@ -63,14 +63,14 @@ def row_features(
     entities = entity_array(reports, ("label",))
     with_ids = entity_array(reports, ("label", "id"))
     if cfg.relations_col in reports.columns:
-        relations = parse_relations(F.col(cfg.relations_col))
+        parsed = with_relations(reports, cfg.relations_col, "_relations")
     else:
-        relations = F.array().cast(PAIRS)
-    staged = reports.select(
+        parsed = reports.withColumn("_relations", F.array().cast(PAIRS))
+    staged = parsed.select(
         cfg.id_col,
         clean_text(F.col(cfg.text_col)).alias("_clean"),
         (F.lit(0) if entity_flag is None else entity_flag).alias(ENTITY_FLAG),
-        relations.alias("_relations"),
+        "_relations",
         malware_ids(with_ids).alias("_nodes"),
         any_malware(F.transform(entities, lambda e: e["label"])).alias(TARGET),
     )

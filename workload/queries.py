@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexvane.config import INFO_KEYWORDS, TARGET, DetectionConfig
 from lexvane.functions.aliases import alias_terms
-from lexvane.functions.relations import parse_relations
+from lexvane.functions.relations import with_relations
 from lexvane.functions.text import clean_text, contains_any, normalize_name
 from lexvane.operators import dictionary as D
 from lexvane.operators import entities as E
@@ -43,7 +43,7 @@ def _match(plan: str, whole_word: bool = False, terms=T.benchmark_terms) -> Quer
     def query(spark, sf):
         docs = T.cleaned(spark, sf)
         flagged = M.dictionary_flag(
-            docs, written(terms(spark, sf), "terms"), "doc_id", "clean", "malware_flag", plan, whole_word
+            docs, terms(spark, sf), "doc_id", "clean", "malware_flag", plan, whole_word
         )
         return flagged.select("doc_id", "malware_flag")
 
@@ -141,13 +141,13 @@ def q_csv_scan(spark, sf):
 
 
 def q_relations_parse(spark, sf):
-    texts = T.relation_texts(spark, sf)
-    return G.explode_relations(texts, "l_orderkey", parse_relations(F.col("relations")))
+    parsed = with_relations(T.relation_texts(spark, sf), "relations", "pairs")
+    return G.explode_relations(parsed, "l_orderkey", F.col("pairs"))
 
 
 def q_total_edges(spark, sf):
-    texts = T.relation_texts(spark, sf)
-    return texts.select("l_orderkey", G.total_edges(parse_relations(F.col("relations"))).alias("graph_total_edges"))
+    parsed = with_relations(T.relation_texts(spark, sf), "relations", "pairs")
+    return parsed.select("l_orderkey", G.total_edges(F.col("pairs")).alias("graph_total_edges"))
 
 
 def q_node_degree(spark, sf):
@@ -161,7 +161,7 @@ def q_labelled_nodes(spark, sf):
 def q_graph_features_rows(spark, sf):
     texts = T.relation_texts(spark, sf)
     nodes = T.labelled_parts(spark, sf).groupBy("l_orderkey").agg(F.collect_set("node").alias("nodes"))
-    records = texts.join(nodes, "l_orderkey", "left").withColumn("r", parse_relations(F.col("relations")))
+    records = with_relations(texts.join(nodes, "l_orderkey", "left"), "relations", "r")
     return records.select(
         "l_orderkey",
         G.max_degree(F.col("r"), F.col("nodes")).alias("graph_max_malware_degree"),

@@ -118,7 +118,8 @@ def labelled_parts(spark: SparkSession, sf: str) -> DataFrame:
 def relation_texts(spark: SparkSession, sf: str) -> DataFrame:
     """``(l_orderkey, relations)``: the lines of an order as a literal list.
 
-    Lines numbered 7 are written with a decimal part, as some exports do.
+    Lines numbered 7 are written with a decimal part, and orders of a single
+    line with a trailing comma, as some exports do.
     """
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     listed = lines.groupBy("l_orderkey").agg(
@@ -136,7 +137,10 @@ def relation_texts(spark: SparkSession, sf: str) -> DataFrame:
         ),
     )
     return listed.select(
-        "l_orderkey", F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")).alias("relations")
+        "l_orderkey",
+        F.concat(
+            F.lit("["), F.array_join(items, ", "), F.when(F.size("e") == 1, ",]").otherwise("]")
+        ).alias("relations"),
     )
 
 
