@@ -33,7 +33,7 @@ from lexvane.functions.text import NON_WORD, fill_text
 from lexvane.operators.dictionary import minimal_terms
 from lexvane.storage import written
 
-SCAN_TERMS = 100
+SCAN_TERMS = 128
 BROADCAST_TERMS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ANCHOR_LENGTH = 4

@@ -1,9 +1,9 @@
 """Exact train/test split, optionally stratified.
 
 Rows are ordered by a seeded hash inside each class and a fixed number of them
-goes to the test set. To keep this distributed, hashes are first counted in
-buckets; whole buckets below the cut go to the test set, and only the one
-bucket per class that the cut falls into is ordered row by row.
+goes to the test set. To find the last of them without ordering a whole class
+in one task, hashes are counted in buckets first, and only the one bucket per
+class that the cut falls into is ordered row by row.
 """
 
 from __future__ import annotations
@@ -66,43 +66,46 @@ def stratified_split(
     if strata_col is not None:
         seen = df.groupBy(strata_col).agg(F.count(F.lit(1)).alias("n")).collect()
         counts = {r[0]: r["n"] for r in seen}  # one row per class
-    if not can_stratify(counts, test_size) if counts else True:
+    if not counts or not can_stratify(counts, test_size):
         strata_col = None
         counts = {0: sum(counts.values()) or df.count()}
     sizes = test_sizes(counts, test_size) if sum(counts.values()) else {}
 
     stratum = F.lit(0) if strata_col is None else F.col(strata_col)
     h = hash_order(id_col, seed) if order is None else order
-    placed = df.withColumns({"_s": stratum, "_h": h}).withColumn(
+    placed = df.select(F.col(id_col).alias("_id"), stratum.alias("_s"), h.alias("_h")).withColumn(
         "_b", F.shiftright("_h", max(0, order_bits - BUCKET_BITS))
     )
 
+    def by_class(values: dict, default: Column) -> Column:
+        chosen = default
+        for value, then in values.items():
+            chosen = F.when(F.col("_s").eqNullSafe(F.lit(value)), then).otherwise(chosen)
+        return chosen
+
     # Per class: the bucket the cut falls into and how many of its rows to take.
-    wanted = F.lit(0)
-    for value, size in sizes.items():
-        wanted = F.when(F.col("_s").eqNullSafe(F.lit(value)), size).otherwise(wanted)
     histogram = placed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n"))
     running = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    cut_rows = (
+    cuts = (
         histogram.withColumn("upto", F.sum("n").over(running))
-        .withColumn("wanted", wanted)
+        .withColumn("wanted", by_class({k: F.lit(n) for k, n in sizes.items()}, F.lit(0)))
         .filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
         .select("_s", "_b", (F.col("wanted") - F.col("upto") + F.col("n")).alias("take"))
         .collect()
     )  # at most one row per class
-    below, inside, take = F.lit(False), F.lit(False), F.lit(0)
-    for s, b, n in cut_rows:
-        here = F.col("_s").eqNullSafe(F.lit(s))
-        below = below | (here & (F.col("_b") < b))
-        inside = inside | (here & (F.col("_b") == b))
-        take = F.when(here, n).otherwise(take)
-
-    edge = placed.filter(inside).select(F.col(id_col).alias("_id"), "_s", "_h")
+    edge = placed.filter(F.col("_b") == by_class({c["_s"]: F.lit(c["_b"]) for c in cuts}, F.lit(None)))
     place = F.row_number().over(Window.partitionBy("_s").orderBy("_h", "_id"))
-    chosen = edge.withColumn("_r", place).filter(F.col("_r") <= take).select("_id")
-    return (
-        placed.withColumn("_below", below)
-        .join(chosen.withColumn("_hit", F.lit(True)), F.col(id_col) == F.col("_id"), "left")
-        .withColumn("is_test", F.col("_below") | F.coalesce("_hit", F.lit(False)))
-        .drop("_s", "_h", "_b", "_below", "_hit", "_id")
-    )
+    last = (
+        edge.withColumn("r", place)
+        .filter(F.col("r") == by_class({c["_s"]: F.lit(c["take"]) for c in cuts}, F.lit(None)))
+        .select("_s", "_h", "_id")
+        .collect()
+    )  # the last test row of every class
+
+    # Everything up to that row is in the test set: a projection, no join.
+    is_test = F.lit(False)
+    for row in last:
+        here = stratum.eqNullSafe(F.lit(row["_s"]))
+        up_to = (h < row["_h"]) | ((h == row["_h"]) & (F.col(id_col) <= F.lit(row["_id"])))
+        is_test = is_test | (here & up_to)
+    return df.withColumn("is_test", is_test)
