@@ -9,6 +9,9 @@ from lexvane.functions.aliases import alias_terms
 from lexvane.functions.text import clean_text, normalize_name, strip
 from lexvane.operators.entities import malware_spans, unpivot_entities
 
+# Longest term that is compared with all shorter ones.
+LONG_TERM = 200
+
 
 def malware_names(reports: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """Distinct stripped malware span texts ``(name)`` of wide reports."""
@@ -97,34 +100,32 @@ def terms_as_text(terms: DataFrame) -> DataFrame:
 
 
 def minimal_terms(terms: DataFrame, on_clean_text: bool = True, whole_word: bool = False) -> DataFrame:
-    """The smallest dictionary that flags the same texts.
+    """A smaller dictionary that flags the same texts.
 
     Leaves out terms that can never occur in cleaned text, and terms holding
     another term: whatever they hit, the shorter one hits too. Terms are looked
     up by the substrings of one another, an equality join whose work grows with
-    the number of terms, instead of comparing every pair.
+    the number of terms, instead of comparing every pair. Terms longer than
+    LONG_TERM have too many substrings for this and stay.
     """
     kept = usable_terms(terms)
     if on_clean_text:
         kept = kept.filter(F.col("term") == clean_text(F.col("term")))
+    usual = kept.filter(F.length("term") <= LONG_TERM)
     lengths = [
-        r[0] for r in kept.select(F.length("term").alias("n")).distinct().orderBy("n").collect()
-    ]  # as many rows as there are different term lengths
+        r[0] for r in usual.select(F.length("term").alias("n")).distinct().orderBy("n").collect()
+    ]  # at most LONG_TERM rows
     if len(lengths) < 2:
         return kept
-    shorter = F.filter(F.array(*map(F.lit, lengths)), lambda n: n < F.length("term"))
-    parts = F.flatten(
-        F.transform(
-            shorter,
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.length("term") - n + 1),
-                lambda i: F.substring(F.col("term"), i, n),
-            ),
-        )
+    sizes = usual.select("term", F.explode(F.array(*map(F.lit, lengths))).alias("n"))
+    places = F.sequence(F.lit(1), F.length("term") - F.col("n") + 1)
+    pieces = (
+        sizes.filter(F.col("n") < F.length("term"))
+        .select("term", "n", F.explode(places).alias("i"))
+        .select("term", F.substring(F.col("term"), F.col("i"), F.col("n")).alias("part"))
     )
-    pieces = kept.select("term", F.explode(F.array_distinct(parts)).alias("part"))
     if whole_word:
         padded = [F.concat(F.lit(" "), F.col(c), F.lit(" ")) for c in ("term", "part")]
         pieces = pieces.filter(F.contains(*padded))
-    holding = pieces.join(kept.select(F.col("term").alias("part")), "part", "left_semi")
+    holding = pieces.join(usual.select(F.col("term").alias("part")), "part", "left_semi")
     return kept.join(holding.select("term").distinct(), "term", "left_anti")

@@ -73,38 +73,58 @@ def anchored_terms(terms: DataFrame, whole_word: bool = False) -> DataFrame:
     anchor is the word itself, marked by ``=``. The first piece of several ends
     a word of the text and the last one begins one; their anchors are up to
     ANCHOR_LENGTH characters, marked by ``<`` and ``>``. A lone piece may be
-    anywhere in a word; its anchor is its beginning, without a mark.
-    ``before`` and ``after`` are the pieces next to the anchored one.
+    anywhere in a word; its anchors are its runs of ANCHOR_LENGTH characters,
+    without a mark. ``before`` and ``after`` are the pieces next to the
+    anchored one.
+
+    Of the anchors a term could have, the one shared by the fewest terms is
+    taken, so that words common to many terms do not gather them all.
     """
-    p = F.col("p")
+    p, k = F.col("p"), F.lit(ANCHOR_LENGTH)
     last = F.size(p) - 1
+    nothing = F.lit("")
 
-    def ranked(w: Column, i: Column) -> Column:
+    def candidate(w: Column, i: Column) -> Column:
         inside = F.lit(True) if whole_word else (i > 0) & (i < last)
+        anchor = (
+            F.when(w == "", None)
+            .when(inside, F.concat(F.lit("="), w))
+            .when(i == 0, F.concat(F.lit("<"), F.right(w, k)))
+            .otherwise(F.concat(F.lit(">"), F.left(w, k)))
+        )
+        weak = ~inside & (F.length(w) < ANCHOR_LENGTH)
+        before = F.coalesce(F.get(p, i - 1), nothing)
+        after = F.coalesce(F.get(p, i + 1), nothing)
         return F.struct(
-            (inside & (w != "")).alias("inside"), F.length(w).alias("n"), (-i).alias("at"), w.alias("w")
+            anchor.alias("anchor"), before.alias("before"), after.alias("after"), weak.alias("weak"), F.length(w).alias("n")
         )
 
-    best = (
+    def run(i: Column) -> Column:
+        piece = F.substring(p[0], i, k)
+        return F.struct(
+            F.when(piece != "", piece).alias("anchor"),
+            nothing.alias("before"),
+            nothing.alias("after"),
+            (F.length(piece) < ANCHOR_LENGTH).alias("weak"),
+            F.length(piece).alias("n"),
+        )
+
+    pieces = F.transform(p, candidate)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(p[0]) - (ANCHOR_LENGTH - 1), F.lit(1))), run)
+    one_word = F.size(p) == 1
+    offered = (
         terms.select("term", F.split("term", NON_WORD, -1).alias("p"))
-        .withColumn("best", F.array_max(F.transform(p, ranked)))
-        .withColumn("i", -F.col("best.at"))
+        .withColumn("c", pieces if whole_word else F.when(one_word, runs).otherwise(pieces))
+        .select("term", one_word.alias("one_word"), F.inline_outer("c"))
     )
-    w = F.col("best.w")
-    anchor = (
-        F.when(w == "", None)
-        .when(F.col("best.inside"), F.concat(F.lit("="), w))
-        .when(last == 0, F.left(w, F.lit(ANCHOR_LENGTH)))
-        .when(F.col("i") == 0, F.concat(F.lit("<"), F.right(w, F.lit(ANCHOR_LENGTH))))
-        .otherwise(F.concat(F.lit(">"), F.left(w, F.lit(ANCHOR_LENGTH))))
-    )
-    return best.select(
-        "term",
-        anchor.alias("anchor"),
-        F.coalesce(F.get(p, F.col("i") - 1), F.lit("")).alias("before"),
-        F.coalesce(F.get(p, F.col("i") + 1), F.lit("")).alias("after"),
-        (F.size(p) == 1).alias("one_word"),
+    shared = offered.filter(F.col("anchor").isNotNull()).groupBy("anchor").agg(F.count(F.lit(1)).alias("shared"))
+    cost = F.struct(F.col("anchor").isNull(), "weak", "shared", -F.col("n"), "anchor")
+    best = (
+        offered.join(shared, "anchor", "left")
+        .groupBy("term", "one_word")
+        .agg(F.min_by(F.struct("anchor", "before", "after"), cost).alias("b"))
     )
+    return best.select("term", "b.anchor", "b.before", "b.after", "one_word")
 
 
 def _profile(index: DataFrame) -> list:
@@ -229,7 +249,7 @@ def _phrase_hits(texts, index, kinds, id_col, whole_word, clean, shuffled) -> Da
 
 
 def _indexed_hits(texts, terms, id_col, whole_word, clean, shuffled) -> DataFrame:
-    index = anchored_terms(terms, whole_word)
+    index = written(anchored_terms(terms, whole_word), "anchors")
     kinds = _profile(index)
     one = [k for k in kinds if k["mark"] is not None and k["one_word"]]
     more = [k for k in kinds if k["mark"] is not None and not k["one_word"]]

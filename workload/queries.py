@@ -250,7 +250,7 @@ def q_leakage_check(spark, sf):
 
 
 def q_detection_features(spark, sf):
-    reports = T.full_reports(spark, sf)
+    reports = written(T.full_reports(spark, sf), "reports")
     terms = written(D.build_terms(D.malware_names(reports, "doc_id"), None, 10), "dictionary")
     return detection_features(reports, terms, CONFIG, T.gazetteer(spark, sf))
 
@@ -263,7 +263,7 @@ def q_three_way_report(spark, sf):
 
 def q_detection_run(spark, sf):
     config = DetectionConfig(id_col="doc_id", min_term_length=8, dictionary_from="train")
-    reports = T.full_reports(spark, sf)
+    reports = written(T.full_reports(spark, sf), "reports")
     return run_detection(reports, config, entities=T.gazetteer(spark, sf)).comparison.report()
 
 
