@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+# Temporary folders of local sessions without the setting, by application.
+_own_folders: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
@@ -21,9 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="lexvane-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    application = spark.conf.get("spark.app.id", "")
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="lexvane-")
+    return _own_folders[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
