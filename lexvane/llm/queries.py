@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexvane.llm import bpe, mixing, quality, url_filter
+from lexvane.llm import bpe, mixing, quality, substring_dedup, suffix_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "position", "takes")
 
 
+def op2_suffix(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf, "documents"))
+
+
+def op4_substring(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf, "documents"))
+
+
 def op7_urls(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.listed_hosts(pages)).drop("listed")
@@ -36,7 +44,7 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mix, op7_urls, op8_quality, op9_bpe]
+    found = [op1_mix, op2_suffix, op4_substring, op7_urls, op8_quality, op9_bpe]
     return {f.__name__: f for f in found}
 
 
