@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexvane.llm import bpe, mixing, quality, substring_dedup, suffix_dedup, url_filter
+from lexvane.llm import (
+    bpe,
+    embedding_dedup,
+    minhash,
+    mixing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,6 +36,10 @@ def op4_substring(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf, "documents"))
 
 
+def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op7_urls(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.listed_hosts(pages)).drop("listed")
@@ -43,8 +56,12 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf, "documents"), path, digests=True)
 
 
+def op10_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mix, op2_suffix, op4_substring, op7_urls, op8_quality, op9_bpe]
+    found = [op1_mix, op2_suffix, op4_substring, op5_minhash, op7_urls, op8_quality, op9_bpe, op10_embeddings]
     return {f.__name__: f for f in found}
 
 
