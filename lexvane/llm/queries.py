@@ -15,6 +15,7 @@ from lexvane.llm import (
     quality,
     substring_dedup,
     suffix_dedup,
+    toxicity,
     url_filter,
 )
 
@@ -40,6 +41,11 @@ def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf, "labels")))
+
+
 def op7_urls(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.listed_hosts(pages)).drop("listed")
@@ -61,7 +67,7 @@ def op10_embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mix, op2_suffix, op4_substring, op5_minhash, op7_urls, op8_quality, op9_bpe, op10_embeddings]
+    found = [op1_mix, op2_suffix, op4_substring, op5_minhash, op6_toxicity, op7_urls, op8_quality, op9_bpe, op10_embeddings]
     return {f.__name__: f for f in found}
 
 
