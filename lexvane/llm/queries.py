@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexvane.llm import (
     bpe,
     embedding_dedup,
+    language_model,
     minhash,
     mixing,
     quality,
@@ -33,6 +34,10 @@ def op2_suffix(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf, "documents"))
 
 
+def op3_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    return language_model.score_documents(_table(spark, sf, "documents"))
+
+
 def op4_substring(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf, "documents"))
 
@@ -67,7 +72,18 @@ def op10_embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mix, op2_suffix, op4_substring, op5_minhash, op6_toxicity, op7_urls, op8_quality, op9_bpe, op10_embeddings]
+    found = [
+        op1_mix,
+        op2_suffix,
+        op3_language_model,
+        op4_substring,
+        op5_minhash,
+        op6_toxicity,
+        op7_urls,
+        op8_quality,
+        op9_bpe,
+        op10_embeddings,
+    ]
     return {f.__name__: f for f in found}
 
 

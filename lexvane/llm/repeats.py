@@ -20,7 +20,7 @@ from lexvane.storage import written
 _RIGHT, _LEFT, _SEGMENT = 0x51ED270B, 0x2545F491, 0x6A09E667
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
     """``doc_id, oid, rid, text``: the id to order by, and a number for the row.
 
     A null id comes after all others. Equal rows share their number: what holds
@@ -29,7 +29,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
     last = F.lit((1 << 63) - 1)
     return docs.select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), last).alias("oid"), key.alias("rid"), "text"
+        "doc_id", F.coalesce(F.col("doc_id").cast("long"), last).alias("oid"), key.alias("rid"), "text", *more
     )
 
 
@@ -120,7 +120,3 @@ def range_arrays(starts: pa.Array, counts: pa.Array, i: int) -> tuple[np.ndarray
         return item.values.to_numpy(zero_copy_only=False).astype(np.int64) if item.is_valid else np.zeros(0, np.int64)
 
     return values(starts), values(counts)
-
-
-def signed(column: Column) -> Column:
-    return column.cast("long")

@@ -11,6 +11,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,3 +135,36 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW, texts: bool = False) -> Dat
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts
     return joined.select("doc_id", "text", "starts", "counts").mapInArrow(run, schema)
+
+
+def cut_texts(docs: DataFrame, n: int = WINDOW) -> DataFrame:
+    """The documents without their repeated words, with the columns they had.
+
+    A document that loses words gets its kept words, joined by one space, as
+    ``text`` (and their length as ``n_chars``, if it has such a column). One
+    that loses all of them is left out. All others are returned unchanged, those
+    without words included.
+    """
+    keys = keyed(docs).columns
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = keyed(docs, whole)
+    ranges = repeated_ranges(rows.select(*keys), n)
+    joined = with_ranges(rows.select("rid", "whole"), ranges, "left")
+
+    @F.pandas_udf("string")
+    def kept(text: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.Series:
+        out = []
+        for t, s, c in zip(text, starts, counts):
+            words = (t or "").encode().split()
+            removed = seq.covered(len(words), np.asarray(s, np.int64), np.asarray(c, np.int64), n)
+            out.append(b" ".join([w for w, gone in zip(words, removed.tolist()) if not gone]).decode())
+        return pd.Series(out, dtype=object)
+
+    # Only documents that lose something go through Python.
+    changed = joined.filter("starts is not null").withColumn("new", kept("whole.text", "starts", "counts"))
+    row = F.col("whole").withField("text", F.col("new"))
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.length("new").cast(docs.schema["n_chars"].dataType))
+    changed = changed.filter(F.length("new") > 0).select(row.alias("whole"))
+    same = joined.filter("starts is null").select("whole")
+    return same.unionByName(changed).select("whole.*")

@@ -15,8 +15,9 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexvane.storage import written
@@ -327,6 +328,14 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     return Model(lexicon, fit_logistic(x, y).tolist())
 
 
+def _chance(x: Column, weights: list[float]) -> Column:
+    *slopes, constant = weights
+    logit = F.lit(constant)
+    for i, w in enumerate(slopes):
+        logit = logit + w * F.get(x, F.lit(i))
+    return 1 / (1 + F.exp(-logit))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document.
 
@@ -334,12 +343,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     score of such texts; repeated rows stay; further columns are left out; with
     no labelled rows nothing is toxic. Nothing is shuffled.
     """
-    featured = _featured(docs, model.lexicon, "doc_id")
-    *slopes, constant = model.weights
-    logit = F.lit(constant)
-    for i, w in enumerate(slopes):
-        logit = logit + w * F.get("x", F.lit(i))
-    chance = 1 / (1 + F.exp(-logit))
-    return featured.select(
+    chance = _chance(F.col("x"), model.weights)
+    return _featured(docs, model.lexicon, "doc_id").select(
         "doc_id", held_out().alias("held_out"), chance.alias("score"), (chance >= 0.5).cast("int").alias("predicted")
     )
+
+
+def is_toxic(text: Column, model: Model) -> Column:
+    """The same verdict as a column expression, to filter whole rows in place."""
+    sent = SparkSession.active().sparkContext.broadcast(model.lexicon)
+
+    @F.pandas_udf("array<double>")
+    def features(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = Finder(sent.value)
+        for part in parts:
+            yield pd.Series([finder.features(t or "") for t in part])
+
+    return _chance(features(text), model.weights) >= 0.5
