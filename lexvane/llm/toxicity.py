@@ -111,50 +111,60 @@ class Finder:
         self.trie = build_trie(self.fuzzy)
         # One edit leaves one half of a term whole, and its length nearly so:
         # other words can't be near.
-        self.halves: dict[tuple[bool, str], set[int]] = {}
+        heads: dict[int, dict[str, set[int]]] = {}
+        tails: dict[int, dict[str, set[int]]] = {}
         for t in self.fuzzy:
-            for key in ((True, t[: len(t) // 2]), (False, t[len(t) // 2 :])):
-                self.halves.setdefault(key, set()).update((len(t) - 1, len(t), len(t) + 1))
-        self.sizes = sorted({(head, len(half)) for head, half in self.halves})
+            sizes = (len(t) - 1, len(t), len(t) + 1)
+            for halves, half in ((heads, t[: len(t) // 2]), (tails, t[len(t) // 2 :])):
+                halves.setdefault(len(half), {}).setdefault(half, set()).update(sizes)
+        self.heads, self.tails = list(heads.items()), list(tails.items())
         self.longest = max(map(len, self.fuzzy), default=-2) + 1
+        self.stem_starts = {stem[: STEMS[0]] for stem in lexicon.stems}
         self.known: dict[str, tuple[float, float]] = {}
         self.older: dict[str, tuple[float, float]] = {}
 
     def word(self, word: str) -> tuple[float, float]:
         """Weights of a word as a term and as a misspelled one (0 if neither)."""
         weight = self.lexicon.terms.get(word, 0.0)
-        for size in STEMS:
-            if len(word) > size:
-                weight = max(weight, self.lexicon.stems.get(word[:size], 0.0))
+        if word[: STEMS[0]] in self.stem_starts:
+            found = [self.lexicon.stems.get(word[:n], 0.0) for n in STEMS if len(word) > n]
+            weight = max(weight, *found, 0.0)
         if weight or not FUZZY_FROM - 1 <= len(word) <= self.longest or word in self.lexicon.innocent:
             return weight, 0.0
-        return 0.0, max((self.fuzzy[t] for _, t in self.near(word)), default=0.0)
+        near = self.near(word)
+        return 0.0, max(self.fuzzy[t] for _, t in near) if near else 0.0
 
     def near(self, word: str) -> list[tuple[int, str]]:
         """The terms one edit away."""
-        size, halves = len(word), self.halves.get
-        for head, n in self.sizes:
-            sizes = halves((head, word[:n] if head else word[-n:]))
-            if sizes and size in sizes:
+        size = len(word)
+        for n, heads in self.heads:
+            if size in heads.get(word[:n], ()):
+                return near_terms(self.trie, word, 1)
+        for n, tails in self.tails:
+            if size in tails.get(word[-n:], ()):
                 return near_terms(self.trie, word, 1)
         return []
 
     def chunk(self, chunk: str) -> tuple[float, float]:
         """The strongest word of a text without white space."""
         found = self.older.get(chunk)
-        if found is None:
-            looked = [self.word(w) for w in _TOKEN.findall(chunk)]
-            found = (max((a for a, _ in looked), default=0.0), max((b for _, b in looked), default=0.0))
+        if found is None and chunk.isalnum():
+            found = self.word(chunk)
+        elif found is None:
+            looked = [self.word(w) for w in _TOKEN.findall(chunk)] or [(0.0, 0.0)]
+            found = looked[0] if len(looked) == 1 else (max(a for a, _ in looked), max(b for _, b in looked))
         if len(self.known) >= CACHE:
             self.known, self.older = {}, self.known
-        self.known[chunk if len(chunk) <= 100 else ""] = found if len(chunk) <= 100 else (0.0, 0.0)
+        if len(chunk) <= 100:
+            self.known[chunk] = found
         return found
 
     def features(self, text: str) -> list[float]:
         """Evidence of terms, whole and for each hundred words."""
         chunks = text.lower().split()
         known, chunk = self.known.get, self.chunk
-        hits = [(i, f) for i, c in enumerate(chunks) if (f := known(c) or chunk(c)) != (0.0, 0.0)]
+        none = (0.0, 0.0)
+        hits = [(i, f) for i, c in enumerate(chunks) if (f := known(c) or chunk(c)) != none]
         sure = near = 0.0
         for i, (a, b) in hits:
             weight = QUOTED_WEIGHT if self.quoted(chunks, i) else 1.0
