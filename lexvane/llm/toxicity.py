@@ -97,6 +97,11 @@ def near_terms(trie: dict, word: str, edits: int) -> list[tuple[int, str]]:
     return sorted(found)
 
 
+def _shortened(word: str) -> list[str]:
+    """The word without one of its characters, each in turn."""
+    return [word[:i] + word[i + 1 :] for i in range(len(word))]
+
+
 class Finder:
     """Looks words up: how strong a term they are, and whether misspelled."""
 
@@ -109,8 +114,10 @@ class Finder:
             if len(t) >= FUZZY_FROM and not any(t[:n] in lexicon.stems for n in STEMS)
         }
         self.trie = build_trie(self.fuzzy)
-        # One edit leaves one half of a term whole, and its length nearly so:
-        # other words can't be near.
+        # Words one edit from a term equal one of its forms, or do so without one
+        # of their characters; the automaton runs on no others. One edit also leaves
+        # one half of a term whole, and its length nearly so, which is looked at first.
+        self.forms = set(self.fuzzy).union(*(_shortened(t) for t in self.fuzzy))
         heads: dict[int, dict[str, set[int]]] = {}
         tails: dict[int, dict[str, set[int]]] = {}
         for t in self.fuzzy:
@@ -139,10 +146,15 @@ class Finder:
         size = len(word)
         for n, heads in self.heads:
             if size in heads.get(word[:n], ()):
-                return near_terms(self.trie, word, 1)
-        for n, tails in self.tails:
-            if size in tails.get(word[-n:], ()):
-                return near_terms(self.trie, word, 1)
+                break
+        else:
+            for n, tails in self.tails:
+                if size in tails.get(word[-n:], ()):
+                    break
+            else:
+                return []
+        if word in self.forms or not self.forms.isdisjoint(_shortened(word)):
+            return near_terms(self.trie, word, 1)
         return []
 
     def chunk(self, chunk: str) -> tuple[float, float]:
