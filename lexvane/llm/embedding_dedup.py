@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,16 +75,22 @@ def _usable() -> Column:
     )
 
 
+def _matrix(column: pa.ListArray, rows: np.ndarray, dim: int) -> np.ndarray:
+    """The vectors of these rows, all of length ``dim``, in double precision."""
+    flat = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64).reshape(len(rows), dim)
+
+
 def _filed(vectors: DataFrame, tables: int, hashes: int, probes: int) -> DataFrame:
     """``node, label, dim, table, bucket, own``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(2)
-            dims = np.array([len(v) for v in column])
+            dims = pc.list_value_length(column).to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
-                x = np.array([column[int(i)].as_py() for i in rows], np.float64)
+                x = _matrix(column, rows, dim)
                 x /= np.abs(x).max(axis=1, keepdims=True)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 x = np.pad(x, ((0, 0), (0, (1 << int(dim - 1).bit_length()) - dim)))
@@ -119,11 +126,10 @@ def _checked(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             x, y = batch.column(2), batch.column(3)
-            dims = np.array([len(v) for v in x])
+            dims = pc.list_value_length(x).to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
-                p = np.array([x[int(i)].as_py() for i in rows], np.float64)
-                q = np.array([y[int(i)].as_py() for i in rows], np.float64)
+                p, q = _matrix(x, rows, dim), _matrix(y, rows, dim)
                 p, q = p / np.abs(p).max(axis=1, keepdims=True), q / np.abs(q).max(axis=1, keepdims=True)
                 norms = np.linalg.norm(p, axis=1) * np.linalg.norm(q, axis=1)
                 keep[rows] = (p * q).sum(axis=1) / norms >= least
