@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-CACHE = 250_000  # chunks a worker remembers in each of two generations
+CACHE = 120_000  # chunks a worker remembers in each of two generations
 
 # White space and letter pattern of the tokenizer.
 SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
