@@ -22,6 +22,7 @@ INFO_ENTITY_TYPES: tuple[str, ...] = ("ORG", "PRODUCT", "GPE", "PERSON")
 # Names of the two classes in reports.
 CLASS_NAMES: tuple[str, str] = ("Not Malware (0)", "Malware (1)")
 
+# Names of feature columns and of the target.
 MALWARE_FLAG = "malware_flag"
 KEYWORD_FLAG = "has_info_keywords"
 ENTITY_FLAG = "has_info_entities"

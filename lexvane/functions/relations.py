@@ -10,6 +10,7 @@ literals, so both paths together accept what Python accepts.
 from __future__ import annotations
 
 import ast
+import hashlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,8 +26,9 @@ _ITEM = rf"[ \t]*+\{{[ \t]*+(?:{_FIELD}(?:,[ \t]*+{_FIELD})*+)?\}}[ \t]*+"
 _MARK = "\x01"
 _INT_TEXT = r"^[ \t]*[+-]?[0-9]{1,18}[ \t]*$"
 _DECIMAL = r"^-?[0-9.]+(E-?[0-9]+)?$"
-# A decimal in quotes is no id, one without quotes is: left to the helper.
-_QUOTED_DECIMAL = r"""['"][ \t]*[+-]?[0-9]*\.[0-9]*[ \t]*['"]"""
+# A decimal in quotes, with or without an exponent, is no id, one without quotes
+# is: left to the helper.
+_QUOTED_DECIMAL = r"""['"][ \t]*[+-]?[0-9]*(?:\.[0-9]*(?:[eE][+-]?[0-9]*)?|[eE][+-]?[0-9]*)[ \t]*['"]"""
 # Digits of other scripts and digit groups are numbers to Python only.
 _ODD_NUMBER = r"[_\P{ASCII}]"
 
@@ -95,8 +97,12 @@ def _literal_relations(texts: Column) -> Column:
             pair = {key: int(item[key]) for key in ("from_id", "to_id")}
         except (KeyError, TypeError, ValueError):
             return None
-        # Ids are 64-bit here; wider integers are not ids.
-        return pair if all(-(2**63) <= v < 2**63 for v in pair.values()) else None
+        return {key: v if -(2**63) <= v < 2**63 else stand_in(v) for key, v in pair.items()}
+
+    def stand_in(value: int) -> int:
+        # Ids are 64-bit here; a wider integer is named by a hash of its digits,
+        # so that it counts and stays itself.
+        return int.from_bytes(hashlib.blake2b(hex(value).encode(), digest_size=8).digest(), "big", signed=True)
 
     def pairs(text: str | None) -> list[dict[str, int]]:
         if text is None:

@@ -9,8 +9,8 @@ from lexvane.functions.aliases import alias_terms
 from lexvane.functions.text import clean_text, normalize_name, strip
 from lexvane.operators.entities import malware_spans, unpivot_entities
 
-# Longest term that is compared with all shorter ones.
-LONG_TERM = 200
+# Numbers of first characters that terms are filed under.
+HEADS = (1, 2, 4, 8, 16, 32)
 
 
 def malware_names(reports: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
@@ -103,29 +103,29 @@ def minimal_terms(terms: DataFrame, on_clean_text: bool = True, whole_word: bool
     """A smaller dictionary that flags the same texts.
 
     Leaves out terms that can never occur in cleaned text, and terms holding
-    another term: whatever they hit, the shorter one hits too. Terms are looked
-    up by the substrings of one another, an equality join whose work grows with
-    the number of terms, instead of comparing every pair. Terms longer than
-    LONG_TERM have too many substrings for this and stay.
+    another term: whatever they hit, the shorter one hits too. A term is filed
+    under its first characters, as many of them as a power of two allows, and
+    looked up by the runs of as many characters in the others. So the work
+    grows with the length of a term, at any length.
     """
     kept = usable_terms(terms)
     if on_clean_text:
         kept = kept.filter(F.col("term") == clean_text(F.col("term")))
-    usual = kept.filter(F.length("term") <= LONG_TERM)
-    lengths = [
-        r[0] for r in usual.select(F.length("term").alias("n")).distinct().orderBy("n").collect()
-    ]  # at most LONG_TERM rows
-    if len(lengths) < 2:
+    size = F.lit(HEADS[0])
+    for n in HEADS[1:]:
+        size = F.when(F.length("term") >= n, n).otherwise(size)
+    filed = kept.select(F.col("term").alias("part"), size.alias("n"), F.left("term", size).alias("run"))
+    sizes = [r[0] for r in filed.select("n").distinct().collect()]  # at most as many as HEADS
+    if not sizes:
         return kept
-    sizes = usual.select("term", F.explode(F.array(*map(F.lit, lengths))).alias("n"))
+    lengths = kept.select("term", F.explode(F.array(*map(F.lit, sorted(sizes)))).alias("n"))
     places = F.sequence(F.lit(1), F.length("term") - F.col("n") + 1)
-    pieces = (
-        sizes.filter(F.col("n") < F.length("term"))
+    runs = (
+        lengths.filter(F.col("n") <= F.length("term"))
         .select("term", "n", F.explode(places).alias("i"))
-        .select("term", F.substring(F.col("term"), F.col("i"), F.col("n")).alias("part"))
+        .select("term", "n", F.substring(F.col("term"), F.col("i"), F.col("n")).alias("run"))
+        .distinct()
     )
-    if whole_word:
-        padded = [F.concat(F.lit(" "), F.col(c), F.lit(" ")) for c in ("term", "part")]
-        pieces = pieces.filter(F.contains(*padded))
-    holding = pieces.join(usual.select(F.col("term").alias("part")), "part", "left_semi")
+    held = [F.concat(F.lit(" "), F.col(c), F.lit(" ")) if whole_word else F.col(c) for c in ("term", "part")]
+    holding = runs.join(filed, ["n", "run"]).filter((F.col("term") != F.col("part")) & F.contains(*held))
     return kept.join(holding.select("term").distinct(), "term", "left_anti")

@@ -221,7 +221,8 @@ def _salt_of(id_col: str) -> Column:
 
 def _one_word_hits(texts, index, kinds, id_col, whole_word, clean, shuffled) -> DataFrame:
     same = _holds(F.col("_word"), F.col("term"), whole_word)
-    words = _words(texts, id_col, clean)
+    # A whole word stands between blanks, whatever other characters there are.
+    words = _words(texts, id_col, clean or whole_word)
     if not shuffled:
         keyed = _with_word_keys(words, kinds)
         return keyed.join(F.broadcast(index), F.col("_key") == F.col("anchor")).filter(same).select(id_col)
@@ -280,9 +281,13 @@ def _indexed_hits(texts, terms, id_col, whole_word, clean, shuffled) -> DataFram
         filed = index.filter(anchored & ~F.col("one_word")).drop("one_word")
         parts.append(_phrase_hits(texts, filed, more, *how))
     if loose:
-        if sum(k["terms"] for k in loose) > BROADCAST_TERMS or sum(k["bytes"] for k in loose) > BROADCAST_BYTES:
-            raise ValueError("too many terms without any word character to broadcast")
-        parts.append(_scan_hits(texts, index.filter(~anchored).select("term"), id_col, whole_word))
+        # One pass for each group of terms that may be sent along.
+        n, size = (sum(k[c] for k in loose) for c in ("terms", "bytes"))
+        groups = max(-(-n // BROADCAST_TERMS), -(-size // BROADCAST_BYTES))
+        group = F.pmod(F.xxhash64("term"), F.lit(groups))
+        for g in range(groups):
+            few = index.filter(~anchored & (group == g)).select("term")
+            parts.append(_scan_hits(texts, few, id_col, whole_word))
     if settled is not None:
         parts.append(settled)
     if not parts:
@@ -331,9 +336,13 @@ def flag_matches(
     plan = choose_plan(terms) if plan == "auto" else plan
     if plan == "scan":
         return flag_in_place(docs, terms, text_col, flag, whole_word)
-    hits = matching_ids(docs, terms, id_col, text_col, plan, whole_word, clean)
-    marked = hits.withColumn(flag, F.lit(1))
-    return docs.join(marked, id_col, "left").withColumn(flag, F.coalesce(flag, F.lit(0)))
+    # Rows without an id are told apart by their text, which is all that counts.
+    named = F.concat(F.lit("\0"), F.md5(fill_text(F.col(text_col))))
+    keyed = docs.withColumn("_key_of", F.coalesce(F.col(id_col).cast("string"), named))
+    hits = matching_ids(keyed, terms, "_key_of", text_col, plan, whole_word, clean)
+    marked = hits.distinct().withColumn(flag, F.lit(1))
+    flagged = keyed.join(marked, "_key_of", "left").withColumn(flag, F.coalesce(flag, F.lit(0)))
+    return flagged.drop("_key_of")
 
 
 def flag_in_place(
@@ -380,6 +389,10 @@ def gazetteer_flag(
 
     Names holding another name cannot change a flag and are left out.
     """
+    return flag_matches(docs, gazetteer_names(entities, types), id_col, text_col, flag, plan)
+
+
+def gazetteer_names(entities: DataFrame, types: tuple[str, ...]) -> DataFrame:
+    """Names ``(term)`` of the wanted types that hold no other one, written once."""
     named = entities.filter(F.col("type").isin(*types)).select(F.col("name").alias("term"))
-    needed = written(minimal_terms(named, on_clean_text=False), "names")
-    return flag_matches(docs, needed, id_col, text_col, flag, plan)
+    return written(minimal_terms(named, on_clean_text=False), "names")

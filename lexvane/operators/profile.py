@@ -17,9 +17,12 @@ SUMMARY = "column string, count bigint, mean double, std double, min double, p25
 
 
 def frequencies(df: DataFrame, col: str) -> DataFrame:
-    """``(value, n)`` of the non-null values."""
+    """``(value, n)`` of the values that are there; NaN is as missing as null."""
+    there = F.col(col).isNotNull()
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        there = there & ~F.isnan(col)
     return (
-        df.filter(F.col(col).isNotNull())
+        df.filter(there)
         .groupBy(F.col(col).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -28,7 +28,7 @@ from lexvane.operators.dictionary import build_terms, malware_names, minimal_ter
 from lexvane.operators.entities import any_malware, derive_label, entity_array, group_width, malware_ids
 from lexvane.operators.evaluate import report_of
 from lexvane.operators.graph import max_degree, total_edges
-from lexvane.operators.match import choose_plan, flag_in_place, gazetteer_flag, matching_ids
+from lexvane.operators.match import choose_plan, flag_in_place, gazetteer_names, matching_ids
 from lexvane.operators.model import LogisticFit, fit_logistic
 from lexvane.operators.profile import numeric_summary, share_map
 from lexvane.operators.split import stratified_split
@@ -122,8 +122,7 @@ def detection_features(
         features = _with_flag(row_features(reports, cfg, entity_flag), hits, cfg.id_col, MALWARE_FLAG)
     if entities is not None:
         raw = reports.select(cfg.id_col, cfg.text_col)
-        named = gazetteer_flag(raw, entities, cfg.entity_types, cfg.id_col, cfg.text_col, ENTITY_FLAG)
-        ids = named.filter(F.col(ENTITY_FLAG) == 1).select(cfg.id_col)
+        ids = matching_ids(raw, gazetteer_names(entities, cfg.entity_types), cfg.id_col, cfg.text_col).distinct()
         features = _with_flag(features, ids, cfg.id_col, ENTITY_FLAG)
     return features.select(
         cfg.id_col, MALWARE_FLAG, KEYWORD_FLAG, ENTITY_FLAG, MAX_DEGREE, TOTAL_EDGES, TARGET
@@ -192,10 +191,10 @@ class DetectionResult:
 
 
 def _train_rows(reports: DataFrame, cfg: DetectionConfig) -> DataFrame:
-    labels = derive_label(reports.drop(TARGET), TARGET).select(cfg.id_col, TARGET)
-    split = stratified_split(labels, cfg.id_col, TARGET, cfg.test_size, cfg.seed)
-    train = split.filter(~F.col("is_test")).select(cfg.id_col)
-    return reports.join(train, cfg.id_col, "left_semi")
+    """The rows that the split will train on: a filter, texts are not shuffled."""
+    labelled = derive_label(reports.drop(TARGET), TARGET)
+    split = stratified_split(labelled, cfg.id_col, TARGET, cfg.test_size, cfg.seed)
+    return split.filter(~F.col("is_test")).drop("is_test", TARGET)
 
 
 def _dictionary(reports, cfg, terms, terms_path, answers) -> tuple[DataFrame, bool]:
@@ -287,7 +286,7 @@ def run_detection(
             "dictionary_cache": terms_path,
             "aliases_given": answers is not None,
             "entity_recognizer_given": with_entities,
-            "true_label_derivation": f"Derived: 1 if 'malware' in label_1..{width}, else 0",
+            "true_label_derivation": [f"label_{i}" for i in range(1, width + 1)],
         },
         "dataset_info": {
             "initial_rows": sum(sizes.values()),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexvane.storage import written
 
+# Columns a report table must have.
 REQUIRED_COLUMNS = ("text", "relations", "id_1", "label_1", "start_offset_1", "end_offset_1")
 
 # The tokens data tools read as a missing value.

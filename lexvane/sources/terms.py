@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexvane.operators.dictionary import usable_terms
+from lexvane.storage import written
 
 
 def read_terms(spark: SparkSession, path: str) -> DataFrame:
@@ -33,14 +34,15 @@ def load_or_build_terms(
 ) -> tuple[DataFrame, bool]:
     """The stored dictionary if there is a non-empty one, else a built and stored one.
 
-    The second value tells whether it was loaded.
+    One that cannot be read is built anew and written over. What is built is
+    written down before it is counted, sorted and stored. The second value tells
+    whether the dictionary was loaded.
     """
     try:
         stored = read_terms(spark, path)
         if not stored.isEmpty():
             return stored, True
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-    built = build()
+    except PySparkException:
+        pass
+    built = written(build(), "dictionary")
     return (read_terms(spark, path) if write_terms(built, path) else built), False

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lexvane.config import INFO_ENTITY_TYPES, INFO_KEYWORDS
+from lexvane.functions.aliases import REFUSALS
 
 # Characters that count as blank, and the same as a class of a regular expression.
 BLANKS = "".join(
@@ -35,12 +36,12 @@ DOCS = f"docs as (select doc_id, text, {clean('text')} as c from documents)"
 
 def runs(words: int, name: str = "terms") -> str:
     return f"""{name} as (select distinct array_to_string(w[i:i + {words - 1}], ' ') as term from (
-      select w, unnest(range(1, len(w) - {words - 2}, 3)) as i
+      select w, unnest(range(1, len(w) - {words - 2})) as i
       from (select string_split({clean('text')}, ' ') as w from benchmark) where len(w) >= {words}))"""
 
 
 LONG_WORDS = f"""terms as (select distinct term from (
-  select unnest(string_split({clean('text')}, ' ')) as term from benchmark) where length(term) >= 9)"""
+  select unnest(string_split({clean('text')}, ' ')) as term from benchmark) where length(term) >= 4)"""
 
 
 def flagged(terms: str, hit: str = "contains(c, term)") -> str:
@@ -78,10 +79,7 @@ def built(min_length: int, name: str = "terms") -> str:
       select {normalize('name')} as term from named where name <> '') where length(term) >= {min_length})"""
 
 
-REFUSED = any_of(
-    "lower({0})",
-    ["i couldn''t find", "i do not have information", "no known aliases", "not a malware", "here are some aliases:"],
-)
+REFUSED = any_of("lower({0})", [phrase.replace("'", "''") for phrase in REFUSALS])
 
 
 def alias_rows(source: str, key: str, text: str) -> str:
@@ -112,9 +110,10 @@ SIMPLE = """simple as (select distinct l_orderkey, least(l_partkey, l_suppkey) a
 GRAPH = """select o_orderkey as l_orderkey, coalesce(d, 0) as graph_max_malware_degree, coalesce(n, 0) as graph_total_edges
   from orders left join totals on o_orderkey = totals.l_orderkey left join top on o_orderkey = top.l_orderkey"""
 
-FIRST_PARTS = """firsts as (select l_orderkey, l_linenumber as idx, min(l_partkey) as id from lineitem group by all),
+LINES = """numbered as (select l_orderkey, l_partkey as id,
+    cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as integer) as idx from lineitem),
   labels_of as (select l_orderkey, idx, id, case when p_brand = 'Brand#13' then 'Malware' else p_type end as label
-    from firsts join part on id = p_partkey)"""
+    from numbered join part on id = p_partkey)"""
 
 TARGETS = """targets as (select l_orderkey, max(cast(coalesce(lower(label) = 'malware', false) as integer)) as true_label
   from labels_of group by all)"""
@@ -164,7 +163,7 @@ def scaled(column: str) -> str:
     return f"round(({column} - avg({column}) over ()) / stddev_pop({column}) over (), 6) as {column}"
 
 
-FEATURES = f"""with {DOCS}, {GAZETTEER}, {built(10)}, {SIMPLE},
+FEATURES = f"""with {DOCS}, {GAZETTEER}, {built(4)}, {SIMPLE},
   flags as (select distinct doc_id from docs, terms where contains(c, term)),
   entity as (select distinct doc_id from docs, names where contains(text, name)),
   firsts as (select l_orderkey, arg_min(l_partkey, (l_linenumber, l_partkey, l_suppkey)) as id from lineitem group by all),
@@ -200,9 +199,7 @@ def oracle_sql() -> dict[str, str]:
         "keyword_match": f"with {DOCS} select doc_id, cast({any_of('c', INFO_KEYWORDS)} as integer) as has_info_keywords from docs",
         "entity_gazetteer_flag": f"""with {GAZETTEER}, hits as (select distinct doc_id from documents, names where contains(text, name))
             select doc_id, cast(doc_id in (select doc_id from hits) as integer) as has_info_entities from documents""",
-        "entity_unpivot": f"""with {FIRST_PARTS}, orders_of as (select distinct l_orderkey from lineitem)
-            select o.l_orderkey, cast(i as integer) as idx, id, label from orders_of o cross join (select unnest(range(1, 8)) as i)
-            join labels_of l on o.l_orderkey = l.l_orderkey and idx = i""",
+        "entity_unpivot": f"with {LINES} select l_orderkey, idx, id, label from labels_of",
         "nested_entities": """select l_orderkey, cast(row_number() over (partition by l_orderkey
             order by l_partkey, l_returnflag, l_linenumber, l_suppkey) as integer) as idx, l_partkey as id, l_returnflag as label,
             cast(l_linenumber as bigint) as start, l_suppkey as "end" from lineitem""",
@@ -227,7 +224,7 @@ def oracle_sql() -> dict[str, str]:
         "labelled_nodes": f"with {SIMPLE} select l_orderkey, node from labelled",
         "graph_features_rows": f"with {SIMPLE} select * from ({GRAPH}) where graph_total_edges > 0",
         "graph_features_edges": f"with {SIMPLE} {GRAPH}",
-        "derive_label": f"with {FIRST_PARTS}, {TARGETS} select l_orderkey, true_label from targets",
+        "derive_label": f"with {LINES}, {TARGETS} select l_orderkey, true_label from targets",
         "label_map": """select p_partkey, cast(p_brand = 'Brand#13' as integer) as label from part""",
         "value_shares": "select event_type as value, count(*) as n, round(count(*) / sum(count(*)) over (), 9) as share from events group by all",
         "numeric_summary": summary("events", "value") + " union all " + summary("events", "user_id"),
@@ -243,13 +240,18 @@ def oracle_sql() -> dict[str, str]:
             round(sum(count(*)) over () / (count(*) over () * count(*)), 9) as weight from labels group by all""",
         "confusion_matrix": f"with {MATRIX} select 0 as true_label, tn as pred_0, fp as pred_1 from m union all select 1, fn, tp from m",
         "classification_report": REPORT,
-        "leakage_check": f"""with {SIMPLE}, {FIRST_PARTS}, {TARGETS}, g as ({GRAPH})
+        "leakage_check": f"""with {SIMPLE}, {LINES}, {TARGETS}, g as ({GRAPH})
             select count(*) filter (true_label = 0 and graph_max_malware_degree = 0) as tn,
               count(*) filter (true_label = 0 and graph_max_malware_degree > 0) as fp,
               count(*) filter (true_label = 1 and graph_max_malware_degree = 0) as fn,
               count(*) filter (true_label = 1 and graph_max_malware_degree > 0) as tp
             from g join targets using (l_orderkey)""",
         "detection_features": FEATURES,
+        "features_without_entities": f"select * replace (0 as has_info_entities) from ({FEATURES})",
+        "recognizer_flag": "select doc_id, cast(contains(text, 'License') as integer) as has_info_entities from documents",
+        "row_guards": "select count(*) as rows, count(*) as numbers from documents",
+        "value_shares_missing": """select cast(floor(value / 10) as double) as value, count(*) as n, round(count(*) / sum(count(*)) over (), 9) as share
+            from events where user_id % 7 <> 0 and user_id % 5 <> 0 group by 1""",
         "stream_match": f"""with {DOCS}, {runs(4)}, hits as (select distinct doc_id from docs, terms where contains(c, term))
             select doc_id, cast(doc_id in (select doc_id from hits) as integer) as malware_flag,
             cast({any_of('c', INFO_KEYWORDS)} as integer) as has_info_keywords from docs""",

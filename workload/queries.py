@@ -18,9 +18,10 @@ from lexvane.operators import graph as G
 from lexvane.operators import match as M
 from lexvane.operators import model as L
 from lexvane.operators import profile as P
+from lexvane.operators.recognizer import recognizer_flag
 from lexvane.operators.split import stratified_split
 from lexvane.plans.detection import compare_detectors, detection_features, run_detection
-from lexvane.sources.reports import nested_mentions, read_csv
+from lexvane.sources.reports import check_columns, check_rows, nested_mentions, read_csv, with_row_id
 from lexvane.sources.terms import load_or_build_terms
 from lexvane.storage import new_path, written
 from lexvane.streaming.scoring import text_flags, write_available
@@ -194,6 +195,13 @@ def q_value_shares(spark, sf):
     return shares.withColumn("share", F.round("share", 9))
 
 
+def q_value_shares_missing(spark, sf):
+    seventh = F.when(F.col("user_id") % 7 != 0, F.floor(F.col("value") / 10).cast("double"))
+    value = F.when(F.col("user_id") % 5 == 0, F.lit(float("nan"))).otherwise(seventh)
+    shares = P.value_shares(T.table(spark, sf, "events").select(value.alias("v")), "v")
+    return shares.withColumn("share", F.round("share", 9))
+
+
 def q_numeric_summary(spark, sf):
     summary = P.numeric_summary(T.table(spark, sf, "events"), ["value", "user_id"])
     return summary.select("column", "count", *(F.round(c, 6).alias(c) for c in summary.columns[2:]))
@@ -251,10 +259,31 @@ def q_leakage_check(spark, sf):
 
 def q_detection_features(spark, sf):
     reports = written(T.full_reports(spark, sf), "reports")
-    terms = written(D.build_terms(D.malware_names(reports, "doc_id"), None, 10), "dictionary")
+    terms = written(D.build_terms(D.malware_names(reports, "doc_id")), "dictionary")
     return detection_features(reports, terms, CONFIG, T.gazetteer(spark, sf))
 
 
+def q_features_without_entities(spark, sf):
+    reports = written(T.full_reports(spark, sf), "reports")
+    terms = written(D.build_terms(D.malware_names(reports, "doc_id")), "dictionary")
+    return detection_features(reports, terms, CONFIG)
+
+
+def q_recognizer_flag(spark, sf):
+    def load():
+        return lambda text: ["ORG"] if "License" in text else ["DATE"]
+
+    docs = T.documents(spark, sf)
+    return docs.select("doc_id", recognizer_flag(F.col("text"), load, ("ORG",)).alias("has_info_entities"))
+
+
+def q_row_guards(spark, sf):
+    """Reports with the columns and rows a run needs, numbered where they have no id."""
+    reports = check_rows(check_columns(T.full_reports(spark, sf)), 2)
+    numbered = with_row_id(reports.withColumnRenamed("doc_id", "own_id"), "row_id")
+    return numbered.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("row_id").alias("numbers"))
+
+
 def q_three_way_report(spark, sf):
     features = written(q_detection_features(spark, sf), "features")
     split = written(stratified_split(features, "doc_id", TARGET), "split")
@@ -262,7 +291,7 @@ def q_three_way_report(spark, sf):
 
 
 def q_detection_run(spark, sf):
-    config = DetectionConfig(id_col="doc_id", min_term_length=8, dictionary_from="train")
+    config = DetectionConfig(id_col="doc_id", dictionary_from="train")
     reports = written(T.full_reports(spark, sf), "reports")
     return run_detection(reports, config, entities=T.gazetteer(spark, sf)).comparison.report()
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexvane.functions.text import clean_text
 from lexvane.storage import spread
 
-GROUPS = 7
-
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -25,16 +23,16 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def benchmark_terms(spark: SparkSession, sf: str, words: int = 4) -> DataFrame:
-    """Every third run of ``words`` words of the cleaned benchmark passages."""
+    """Every run of ``words`` words of the cleaned benchmark passages."""
     split = table(spark, sf, "benchmark").select(F.split(clean_text(F.col("text")), " ").alias("w"))
-    starts = F.sequence(F.lit(1), F.size("w") - (words - 1), F.lit(3))
+    starts = F.sequence(F.lit(1), F.size("w") - (words - 1))
     long_enough = split.filter(F.size("w") >= words)
     runs = F.transform(starts, lambda i: F.concat_ws(" ", F.slice("w", i, words)))
     return long_enough.select(F.explode(runs).alias("term")).distinct()
 
 
-def benchmark_words(spark: SparkSession, sf: str, at_least: int = 9) -> DataFrame:
-    """Distinct long words of the cleaned benchmark passages."""
+def benchmark_words(spark: SparkSession, sf: str, at_least: int = 4) -> DataFrame:
+    """Distinct words, long enough for a dictionary, of the cleaned benchmark passages."""
     words = table(spark, sf, "benchmark").select(
         F.explode(F.split(clean_text(F.col("text")), " ")).alias("term")
     )
@@ -145,16 +143,18 @@ def relation_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def wide_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as wide rows of seven entity groups: smallest part per line number."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    """Orders as wide rows, an entity group for each line; as wide as the longest order."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     label = F.when(F.col("p_brand") == "Brand#13", "Malware").otherwise(F.col("p_type"))
-    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    joined = lines.withColumn("place", place).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    width = lines.groupBy("l_orderkey").count().agg(F.max("count")).first()[0] or 1
     groups = []
-    for i in range(1, GROUPS + 1):
-        here = F.col("l_linenumber") == i
+    for i in range(1, width + 1):
+        here = F.col("place") == i
         groups.append(F.min(F.when(here, F.col("l_partkey"))).alias(f"id_{i}"))
-        groups.append(F.min_by(label, F.when(here, F.col("l_partkey"))).alias(f"label_{i}"))
+        groups.append(F.min(F.when(here, label)).alias(f"label_{i}"))
     return joined.groupBy("l_orderkey").agg(*groups)
 
 
