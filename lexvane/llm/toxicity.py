@@ -31,7 +31,7 @@ CONTEXT = 8  # words on either side that can mark a quotation
 QUOTED_WEIGHT = 0.3  # of a find inside a quotation
 MISSPELLED_WEIGHT = 0.5  # of a misspelled term
 FAMILY = 1.5  # times the texts of its most frequent word a stem must have
-CACHE = 250_000  # words a worker remembers in each of two generations
+CACHE = 60_000  # words a worker remembers in each of two generations
 
 # Words and marks that report what somebody else said.
 REPORTING = frozenset(
