@@ -112,7 +112,7 @@ def _signed_rows(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """``row_key, doc_id, digest, bands``: digests of word sequences, bands of signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in seq.parts(batches):
             texts = seq.texts_of(batch.column(1))
             for a, b in seq.text_chunks(texts):
                 some = seq.word_symbols(texts[a:b])
@@ -138,7 +138,7 @@ def _shingle_rows(docs: DataFrame, n: int) -> DataFrame:
     """``id, shingles``: hashes of the weighted set, a frequent shingle once for each time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in seq.parts(batches):
             texts = seq.texts_of(batch.column(1))
             for a, b in seq.text_chunks(texts):
                 text, element, weight = elements(seq.word_symbols(texts[a:b]), n)

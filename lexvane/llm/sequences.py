@@ -162,6 +162,13 @@ def text_chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that fewer texts are unpacked at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 of the texts; null is empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
