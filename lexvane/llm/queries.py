@@ -13,7 +13,9 @@ from lexvane.llm import (
     language_model,
     minhash,
     mixing,
+    piece_bpe,
     quality,
+    ranked_search,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -71,6 +73,17 @@ def op10_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf, "embeddings"))
 
 
+def op11_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_bpe.encode_documents(_table(spark, sf, "documents"), path, digests=True)
+
+
+def op12_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf, "benchmark"), _table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_mix,
@@ -83,6 +96,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_bpe,
         op10_embeddings,
+        op11_pieces,
+        op12_search,
     ]
     return {f.__name__: f for f in found}
 
