@@ -11,6 +11,7 @@ from lexvane.llm import (
     bpe,
     embedding_dedup,
     language_model,
+    merkle,
     minhash,
     mixing,
     piece_bpe,
@@ -84,6 +85,14 @@ def op12_search(spark: SparkSession, sf: str) -> DataFrame:
     return ranked_search.search(_table(spark, sf, "benchmark"), _table(spark, sf, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = F.when(chosen, F.translate("text", letters, letters.lower())).otherwise(F.col("text"))
+    checked = merkle.verify(_table(spark, sf, "documents"), {"text": tampered})
+    return checked.withColumn("proof", F.sha2("proof", 256)).withColumnRenamed("proof", "proof_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_mix,
@@ -98,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_embeddings,
         op11_pieces,
         op12_search,
+        op13_merkle,
     ]
     return {f.__name__: f for f in found}
 
