@@ -14,6 +14,7 @@ from lexvane.llm import (
     merkle,
     minhash,
     mixing,
+    oracle,
     piece_bpe,
     quality,
     ranked_search,
@@ -113,4 +114,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
