@@ -38,6 +38,9 @@ class DetectionConfig:
     ``dictionary_from``: ``"all"`` builds the dictionary from every row (the
     evaluation then sees names taken from its own test rows); ``"train"`` builds
     it from the training rows only.
+    ``split_order``: an SQL expression of a non-negative whole number below
+    ``2 ** split_order_bits``, spread evenly; it orders the rows of a class for
+    the split instead of the seeded hash of the id.
     ``normalize_terms_as_text``: clean dictionary terms the way texts are
     cleaned, so that terms holding punctuation can match.
     """
@@ -56,3 +59,5 @@ class DetectionConfig:
     match_plan: str = "auto"
     c: float = 1.0
     max_iter: int = 1000
+    split_order: str | None = None
+    split_order_bits: int = 63

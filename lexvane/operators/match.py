@@ -8,29 +8,34 @@ blanks (or the ends of the text) around it. Three plans give the same answer:
     No shuffle, one pass, works on streams. Its cost is texts x terms, so it
     is for small dictionaries only.
 ``indexed``
-    Every term is filed under an *anchor*, a piece of one of its words. Texts
-    are split into words; words look their anchors up in the broadcast index,
-    and only the few candidates are compared, first with the neighbouring
-    words. The cost per text hardly depends on the size of the dictionary, and
-    only ids leave the stage.
+    Every term is filed under an *anchor*, a piece of one of its words. All
+    dictionaries asked for share one broadcast index, and every text is split
+    once: its words look up all kinds of anchors, and only the few candidates
+    are compared, first with the neighbouring words. Flags are gathered by row,
+    so texts are read once, and only flags and numbers leave the stage.
 ``shuffled``
-    For dictionaries beyond the broadcast bound. One-word terms are looked up
-    in the vocabulary of the texts, and the words found are joined back to the
-    texts. Longer terms meet the texts' word windows in a salted join, and the
-    candidates are compared after joining them back by id.
+    For dictionaries beyond the broadcast bound. Texts are split once, and a
+    table of the words and how often they occur (its size is that of the
+    vocabulary) says how often each possible anchor occurs. A term of which some
+    piece occurs nowhere is left out; any other is filed under its anchor that
+    the texts hold least often. Only words with an anchor become windows, and a
+    word goes to as many tasks as its own measured number of occurrences asks
+    for.
 
 ``auto`` measures the dictionary first and picks one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from lexvane.functions.text import NON_WORD, fill_text
-from lexvane.operators.dictionary import minimal_terms
+from lexvane.functions.text import NON_WORD, clean_text, fill_text
+from lexvane.operators.dictionary import minimal_terms, usable_terms
 from lexvane.storage import written
 
 SCAN_TERMS = 128
@@ -38,7 +43,8 @@ BROADCAST_TERMS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ANCHOR_LENGTH = 4
 STRETCH = 12
-SALTS = 16
+# Occurrences of a word that one task takes in the shuffled plan.
+TASK_ROWS = 1_000_000
 
 PLANS = ("auto", "scan", "indexed", "shuffled")
 
@@ -48,14 +54,44 @@ def _size(terms: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def choose_plan(terms: DataFrame) -> str:
-    """Plan for a dictionary, by its measured size."""
-    count, size = _size(terms)
+def _plan_for(count: int, size: int) -> str:
     if count <= SCAN_TERMS and size <= BROADCAST_BYTES:
         return "scan"
-    if count <= BROADCAST_TERMS and size <= BROADCAST_BYTES:
-        return "indexed"
-    return "shuffled"
+    return "indexed" if count <= BROADCAST_TERMS and size <= BROADCAST_BYTES else "shuffled"
+
+
+def choose_plan(terms: DataFrame) -> str:
+    """Plan for a dictionary, by its measured size."""
+    return _plan_for(*_size(terms))
+
+
+@dataclass(frozen=True)
+class TermSet:
+    """A dictionary ``terms(term)`` to look for in ``text_col``, and the flag it gives.
+
+    ``clean``: the text is matched as its lower-case words joined by blanks
+    (it may have that form already); else as it is.
+    """
+
+    flag: str
+    terms: DataFrame
+    text_col: str
+    whole_word: bool = False
+    clean: bool = False
+    plan: str = "auto"
+
+    def __post_init__(self) -> None:
+        if self.plan not in PLANS:
+            raise ValueError(f"plan must be one of {PLANS}")
+
+    def text(self) -> Column:
+        return clean_text(F.col(self.text_col)) if self.clean else fill_text(F.col(self.text_col))
+
+    def words(self) -> Column:
+        """The words of the text, pieces between other characters; empty ones only for raw texts."""
+        if not self.clean:
+            return F.split(fill_text(F.col(self.text_col)), NON_WORD, -1)
+        return F.array_remove(F.split(F.lower(fill_text(F.col(self.text_col))), NON_WORD, -1), "")
 
 
 def _holds(text: Column, term: Column, whole_word: bool) -> Column:
@@ -65,8 +101,8 @@ def _holds(text: Column, term: Column, whole_word: bool) -> Column:
     return F.contains(F.concat(blank, text, blank), F.concat(blank, term, blank))
 
 
-def anchored_terms(terms: DataFrame, whole_word: bool = False) -> DataFrame:
-    """``(term, anchor, before, after, one_word)``; the anchor is null without word characters.
+def _candidates(terms: DataFrame, whole_word: bool) -> DataFrame:
+    """``term, one_word, anchor, before, after, at, size, weak``: all anchors a term could have.
 
     The words of a term are the pieces between its other characters. A piece
     bounded on both sides is a whole word in every text holding the term; its
@@ -74,17 +110,18 @@ def anchored_terms(terms: DataFrame, whole_word: bool = False) -> DataFrame:
     a word of the text and the last one begins one; their anchors are up to
     ANCHOR_LENGTH characters, marked by ``<`` and ``>``. A lone piece may be
     anywhere in a word; its anchors are its runs of ANCHOR_LENGTH characters,
-    without a mark. ``before`` and ``after`` are the pieces next to the
-    anchored one.
-
-    Of the anchors a term could have, the one shared by the fewest terms is
-    taken, so that words common to many terms do not gather them all.
+    without a mark. A term without word characters has one row, without an
+    anchor. ``before`` and ``after`` are the pieces next to the anchored one,
+    which is number ``at`` of ``size``.
     """
     p, k = F.col("p"), F.lit(ANCHOR_LENGTH)
-    last = F.size(p) - 1
-    nothing = F.lit("")
+    last, nothing = F.size(p) - 1, F.lit("")
 
-    def candidate(w: Column, i: Column) -> Column:
+    def offer(anchor: Column, before: Column, after: Column, at: Column, weak: Column, n: Column) -> Column:
+        parts = {"anchor": anchor, "before": before, "after": after, "at": at.cast("int"), "weak": weak, "n": n}
+        return F.struct(*(c.alias(name) for name, c in parts.items()))
+
+    def piece(w: Column, i: Column) -> Column:
         inside = F.lit(True) if whole_word else (i > 0) & (i < last)
         anchor = (
             F.when(w == "", None)
@@ -92,207 +129,307 @@ def anchored_terms(terms: DataFrame, whole_word: bool = False) -> DataFrame:
             .when(i == 0, F.concat(F.lit("<"), F.right(w, k)))
             .otherwise(F.concat(F.lit(">"), F.left(w, k)))
         )
-        weak = ~inside & (F.length(w) < ANCHOR_LENGTH)
-        before = F.coalesce(F.get(p, i - 1), nothing)
-        after = F.coalesce(F.get(p, i + 1), nothing)
-        return F.struct(
-            anchor.alias("anchor"), before.alias("before"), after.alias("after"), weak.alias("weak"), F.length(w).alias("n")
-        )
+        near = (F.coalesce(F.get(p, i + d), nothing) for d in (-1, 1))
+        return offer(anchor, *near, i, ~inside & (F.length(w) < ANCHOR_LENGTH), F.length(w))
 
     def run(i: Column) -> Column:
-        piece = F.substring(p[0], i, k)
-        return F.struct(
-            F.when(piece != "", piece).alias("anchor"),
-            nothing.alias("before"),
-            nothing.alias("after"),
-            (F.length(piece) < ANCHOR_LENGTH).alias("weak"),
-            F.length(piece).alias("n"),
-        )
+        part = F.substring(p[0], i, k)
+        n = F.length(part)
+        return offer(F.when(part != "", part), nothing, nothing, F.lit(0), n < ANCHOR_LENGTH, n)
 
-    pieces = F.transform(p, candidate)
+    pieces = F.transform(p, piece)
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(p[0]) - (ANCHOR_LENGTH - 1), F.lit(1))), run)
     one_word = F.size(p) == 1
-    offered = (
-        terms.select("term", F.split("term", NON_WORD, -1).alias("p"))
-        .withColumn("c", pieces if whole_word else F.when(one_word, runs).otherwise(pieces))
-        .select("term", one_word.alias("one_word"), F.inline_outer("c"))
+    offered = terms.select("term", F.split("term", NON_WORD, -1).alias("p")).withColumn(
+        "c", pieces if whole_word else F.when(one_word, runs).otherwise(pieces)
     )
-    shared = offered.filter(F.col("anchor").isNotNull()).groupBy("anchor").agg(F.count(F.lit(1)).alias("shared"))
-    cost = F.struct(F.col("anchor").isNull(), "weak", "shared", -F.col("n"), "anchor")
-    best = (
-        offered.join(shared, "anchor", "left")
-        .groupBy("term", "one_word")
-        .agg(F.min_by(F.struct("anchor", "before", "after"), cost).alias("b"))
-    )
-    return best.select("term", "b.anchor", "b.before", "b.after", "one_word")
+    rows = offered.select("term", one_word.alias("one_word"), F.size("p").alias("size"), F.inline("c"))
+    bare = F.regexp_replace("term", NON_WORD, "") == ""
+    return rows.filter(F.col("anchor").isNotNull() | bare)
+
 
+def _best(offered: DataFrame, cost: str) -> DataFrame:
+    """The cheapest anchor of every term; ``cost`` is a column."""
+    order = F.struct("weak", cost, -F.col("n"), "anchor", "at")
+    best = F.min_by(F.struct("one_word", "anchor", "before", "after", "at", "size", "weak"), order)
+    return offered.groupBy("term").agg(best.alias("b")).select("term", "b.*")
 
-def _profile(index: DataFrame) -> list:
-    """What the index holds: one row ``(one_word, mark, n, terms, bytes)`` per kind of anchor.
 
-    Marks are ``=``, ``<`` and ``>``, empty for unmarked anchors, and null for
-    terms without an anchor; ``n`` is the number of characters. There are at
-    most some 4 * ANCHOR_LENGTH kinds.
+def anchored_terms(terms: DataFrame, whole_word: bool = False) -> DataFrame:
+    """Every term once, ``(term, one_word, anchor, before, after, at, size, weak)``.
+
+    Of the anchors a term could have, the one shared by the fewest terms is
+    taken, so that words common to many terms do not gather them all.
     """
-    first = F.left("anchor", F.lit(1))
-    mark = F.when(F.col("anchor").isNull(), None).when(first.isin("=", "<", ">"), first).otherwise("")
-    n = F.when(mark == "=", 0).otherwise(F.length("anchor") - F.length(mark))
-    kinds = index.select("one_word", mark.alias("mark"), n.alias("n"), F.octet_length("term").alias("b"))
-    counted = kinds.groupBy("one_word", "mark", "n").agg(F.count(F.lit(1)).alias("terms"), F.sum("b").alias("bytes"))
-    return sorted(counted.collect(), key=str)
+    shared = F.count("anchor").over(Window.partitionBy("anchor"))
+    return _best(_candidates(terms, whole_word).withColumn("shared", shared), "shared")
 
 
-def _with_grams(words: DataFrame, sizes: list[int]) -> DataFrame:
-    """Add ``_key``: every run of ``sizes`` characters inside the word.
+# -- the shared index --------------------------------------------------------------
 
-    Words are cut into overlapping stretches first (one for most words), and a
-    stretch has a fixed list of places. Without lambdas all of this runs inside
-    generated code, several times faster.
-    """
-    starts = F.sequence(F.lit(1), F.length("_word"), F.lit(STRETCH))
-    stretch = F.substring(F.col("_word"), F.col("_start"), F.lit(STRETCH + ANCHOR_LENGTH - 1))
-    cut = words.withColumn("_start", F.explode(starts)).withColumn("_stretch", stretch)
-    runs = F.array(*(F.substring("_stretch", i, n) for n in sizes for i in range(1, STRETCH + 1)))
-    keyed = cut.withColumn("_key", F.explode(runs)).drop("_start", "_stretch")
-    return keyed.filter(F.length("_key").isin(sizes))
+# What a kind of anchor is: its mark and its number of characters (0: whole words).
+_KINDS = [("=", 0), *((m, n) for m in ("<", ">", "") for n in range(1, ANCHOR_LENGTH + 1))]
 
 
-def _with_word_keys(words: DataFrame, kinds: list) -> DataFrame:
-    """Add ``_key``: the anchors of these kinds a word can answer to, one a row.
+@dataclass(frozen=True)
+class _Index:
+    """Filed terms of one set, written; what there is of each kind; terms and their bytes."""
 
-    The kinds are either all unmarked or all marked.
-    """
-    sizes = [k["n"] for k in kinds if k["mark"] == ""]
-    if sizes:
-        return _with_grams(words, sizes)
+    rows: DataFrame
+    kinds: dict[tuple[str, int], int]
+    count: int
+    size: int
+    bare: tuple[int, int]
+
+
+def _measured(filed: DataFrame, name: str) -> _Index:
+    """Write the index; its measures are gathered on the way."""
+    mark = F.when(F.left("anchor", F.lit(1)).isin("=", "<", ">"), F.left("anchor", F.lit(1))).otherwise("")
+    chars = F.when(mark == "=", 0).otherwise(F.length("anchor") - F.length(mark))
+    measures, seen = {}, Observation(f"index {name}")
+    for i, (m, n) in enumerate(_KINDS):
+        measures[f"k{i}"] = F.count_if((mark == m) & (chars == n))
+    bare = F.col("anchor").isNull()
+    measures |= {"n": F.count(F.lit(1)), "b": F.sum(F.octet_length("term"))}
+    measures |= {"bare": F.count_if(bare), "bare_b": F.sum(F.when(bare, F.octet_length("term")))}
+    rows = written(filed.observe(seen, *(c.alias(k) for k, c in measures.items())), "index")
+    got = {k: v or 0 for k, v in seen.get.items()}
+    kinds = {kind: got[f"k{i}"] for i, kind in enumerate(_KINDS) if got[f"k{i}"]}
+    return _Index(rows, kinds, got["n"], got["b"], (got["bare"], got["bare_b"]))
+
+
+def _keys(kinds: Sequence[tuple[str, int]]) -> Column:
+    """Array of the marked anchors of these kinds that ``_word`` can answer to."""
     word, keys = F.col("_word"), []
-    for mark, n in ((k["mark"], k["n"]) for k in kinds):
+    for mark, n in kinds:
         if mark == "=":
             keys.append(F.concat(F.lit(mark), word))
-        else:
+        elif mark:
             piece = F.right(word, F.lit(n)) if mark == "<" else F.left(word, F.lit(n))
             keys.append(F.when(F.length(word) >= n, F.concat(F.lit(mark), piece)))
-    return words.withColumn("_key", F.explode(F.array(*keys)))
+    return F.array(*keys)
 
 
-def _split(text: Column, clean: bool) -> Column:
-    return F.split(text, " " if clean else NON_WORD, -1)
+def _with_keys(words: DataFrame, kinds: Sequence[tuple[str, int]]) -> DataFrame:
+    """Add ``_key``: every anchor of these kinds that a word can answer to, one a row.
 
+    For anchors anywhere in a word, words are cut into overlapping stretches
+    first (one for most words), and a stretch has a fixed list of places.
+    Without lambdas all of this runs inside generated code.
+    """
+    marked = [k for k in kinds if k[0]]
+    sizes = [n for m, n in kinds if not m]
+    if not sizes:
+        if len(marked) == 1 and marked[0][0] == "=":
+            return words.withColumn("_key", F.concat(F.lit("="), F.col("_word")))
+        return words.withColumn("_key", F.explode(_keys(marked))).filter(F.col("_key").isNotNull())
+    starts = F.sequence(F.lit(1), F.greatest(F.length("_word"), F.lit(1)), F.lit(STRETCH))
+    stretch = F.substring(F.col("_word"), F.col("_start"), F.lit(STRETCH + ANCHOR_LENGTH - 1))
+    cut = words.withColumn("_start", F.explode(starts)).withColumn("_stretch", stretch)
+    runs = [F.substring("_stretch", i, n) for n in sizes for i in range(1, STRETCH + 1)]
+    # Runs cut short at the word's end are anchors of a shorter kind, or of none.
+    whole = [F.when(F.length(r) == n, r) for r, n in zip(runs, [n for n in sizes for _ in range(STRETCH)])]
+    keys = F.array(*whole)
+    if marked:
+        keys = F.when(F.col("_start") == 1, F.concat(keys, _keys(marked))).otherwise(keys)
+    return cut.withColumn("_key", F.explode(keys)).drop("_start", "_stretch").filter(F.col("_key").isNotNull())
+
+
+def _window_hit(one: TermSet) -> Column:
+    """Whether the joined index row's term is there, seen from word number ``_p`` (from 1) of ``_w``."""
+    term, place = F.col("term"), F.col("_p") - F.col("at")
+    before = F.coalesce(F.get("_w", F.col("_p") - 2), F.lit(""))
+    after = F.coalesce(F.get("_w", F.col("_p")), F.lit(""))
+    near = F.endswith(before, F.col("before")) & F.startswith(after, F.col("after"))
+    if one.clean:  # words and single blanks are all there is
+        window = F.array_join(F.slice("_w", place, F.col("size")), " ")
+        phrase = F.when((place >= 1) & near, _holds(window, term, one.whole_word))
+        single = _holds(F.col("_word"), term, one.whole_word)
+    else:  # the neighbours decide first: comparing whole texts is the dear part
+        phrase = F.when(near, _holds(one.text(), term, one.whole_word))
+        single = phrase if one.whole_word else F.contains("_word", term)
+    return F.coalesce(F.when(F.col("one_word"), single).otherwise(phrase), F.lit(False))
+
+
+def _weak(mark: str, n: int) -> bool:
+    return mark != "=" and n < ANCHOR_LENGTH
+
+
+def _scanned(rows: DataFrame, one: TermSet, index: _Index, out: str) -> tuple[DataFrame, _Index]:
+    """Add a flag of the terms that are better compared one by one; the index without them.
+
+    These are terms without word characters, and terms whose anchors are short
+    (these occur in most texts and file too much) while there are few of them.
+    """
+    short = {k: n for k, n in index.kinds.items() if _weak(*k)}
+    few = 0 < sum(short.values()) <= SCAN_TERMS
+    parts: list[DataFrame] = []
+    if few:
+        parts.append(index.rows.filter("anchor is not null and weak"))
+    n, size = index.bare
+    groups = max(-(-n // BROADCAST_TERMS), -(-size // BROADCAST_BYTES))
+    for g in range(groups):  # one pass for each group of terms that may be sent along
+        parts.append(index.rows.filter(F.col("anchor").isNull() & (F.pmod(F.xxhash64("term"), F.lit(groups)) == g)))
+    flags = []
+    rows = rows.withColumn("_scan_text", one.text()) if parts else rows
+    for i, part in enumerate(parts):
+        flags.append(f"{out}_{i}")
+        rows = flag_in_place(rows, part, "_scan_text", flags[-1], one.whole_word)
+    flag = reduce(lambda a, b: F.greatest(a, b), map(F.col, flags)) if flags else F.lit(0)
+    rows = rows.withColumn(out, flag).drop("_scan_text", *flags)
+    kept = {k: v for k, v in index.kinds.items() if not (few and _weak(*k))}
+    left = index.rows.filter(F.col("anchor").isNotNull() & ~(F.lit(few) & F.col("weak")))
+    return rows, _Index(left, kept, index.count, index.size, (0, 0))
+
+
+def _looked_up(rows: DataFrame, sets: list[TermSet], indexes: list[_Index], keep: list[str], carry: dict[str, Column]) -> DataFrame:
+    """All sets' flags of every row, in one pass over the texts.
+
+    ``rows`` has a key ``_row`` and a column ``_scan{i}`` for each set. An empty
+    word in front of every text finds a mark in the index, so that rows without
+    a hit are kept, and ``carry`` is computed there, once for each row.
+    """
+    texts = F.array(*(F.struct(F.lit(i).alias("_set"), s.words().alias("_w")) for i, s in enumerate(sets)))
+    lists = rows.select("*", F.inline(texts)) if len(sets) > 1 else rows.withColumn("_w", sets[0].words()).withColumn("_set", F.lit(0))
+    words = lists.select("*", F.posexplode(F.concat(F.array(F.lit("")), F.col("_w"))).alias("_p", "_word"))
+    kinds = list(dict.fromkeys(k for index in indexes for k in index.kinds))
+    first = F.col("_p") == 0
+    keyed = _with_keys(words, [("=", 0), *(k for k in kinds if k != ("=", 0))])
+    shape = ("term", "one_word", "anchor", "before", "after", "at", "size")
+    marks = rows.sparkSession.range(len(sets)).select(
+        F.col("id").cast("int").alias("_of"), F.lit("=").alias("anchor"), F.lit(None).cast("string").alias("term")
+    )
+    filed = [index.rows.select(*shape, F.lit(i).alias("_of")) for i, index in enumerate(indexes)]
+    index = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*filed, marks])
+    met = keyed.join(F.broadcast(index), (F.col("_key") == F.col("anchor")) & (F.col("_set") == F.col("_of")))
+    met = met.filter(F.col("term").isNotNull() | first)
+    head = first & (F.col("_set") == 0) & F.col("term").isNull()
+    hits = []
+    for i, s in enumerate(sets):
+        hit = F.when((F.col("_set") == i) & F.col("term").isNotNull(), _window_hit(s).cast("int"))
+        hits.append(F.greatest(F.max(F.coalesce(hit, F.lit(0))), F.max(f"_scan{i}")).alias(s.flag))
+    kept = [F.first(c).alias(c) for c in keep] + [F.max(F.when(head, c)).alias(k) for k, c in carry.items()]
+    return met.groupBy("_row").agg(*kept, *hits).drop("_row")
 
-def _words(texts: DataFrame, id_col: str, clean: bool) -> DataFrame:
-    """Distinct words of every text."""
-    words = F.explode(F.array_distinct(_split(F.col("_text"), clean))).alias("_word")
-    return texts.select(id_col, words).filter(F.col("_word") != "")
 
+# -- dictionaries too large to send along ----------------------------------------------
 
-def _windows(texts: DataFrame, id_col: str, clean: bool, carry: tuple[str, ...]) -> DataFrame:
-    """Every word of every text with the words around it."""
-    split = texts.select(id_col, *carry, _split(F.col("_text"), clean).alias("_w"))
-    none = F.array(F.lit(""))
-    zipped = F.arrays_zip(
-        F.concat(none, F.col("_w")).alias("prev"),
-        F.col("_w").alias("word"),
-        F.concat(F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(0))), none).alias("next"),
-    )
-    rows = split.select(id_col, *carry, F.inline(zipped).alias("_prev", "_word", "_next"))
-    return rows.filter(F.col("_word") != "")
-
-
-def _scan_hits(texts: DataFrame, terms: DataFrame, id_col: str, whole_word: bool) -> DataFrame:
-    """Ids by nested loop over a broadcast dictionary of checked size."""
-    hit = _holds(F.col("_text"), F.col("term"), whole_word)
-    return texts.join(F.broadcast(terms), hit, "left_semi").select(id_col)
-
-
-def _scan_rest(texts: DataFrame, terms: DataFrame, whole_word: bool) -> DataFrame:
-    """Texts without any of a few broadcast terms."""
-    hit = _holds(F.col("_text"), F.col("term"), whole_word)
-    return texts.join(F.broadcast(terms), hit, "left_anti")
-
-
-def _salted(index: DataFrame) -> DataFrame:
-    return index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-
-
-def _salt_of(id_col: str) -> Column:
-    """The share of a frequent key a row goes to."""
-    return F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int").alias("_salt")
-
-
-def _one_word_hits(texts, index, kinds, id_col, whole_word, clean, shuffled) -> DataFrame:
-    same = _holds(F.col("_word"), F.col("term"), whole_word)
-    # A whole word stands between blanks, whatever other characters there are.
-    words = _words(texts, id_col, clean or whole_word)
-    if not shuffled:
-        keyed = _with_word_keys(words, kinds)
-        return keyed.join(F.broadcast(index), F.col("_key") == F.col("anchor")).filter(same).select(id_col)
-    vocabulary = words.select("_word").distinct()
-    keyed = _with_word_keys(vocabulary, kinds)
-    found = keyed.join(index, F.col("_key") == F.col("anchor")).filter(same).select("_word").distinct()
-    placed = words.withColumn("_salt", _salt_of(id_col))
-    return placed.join(_salted(found), ["_word", "_salt"], "left_semi").select(id_col)
-
-
-def _phrase_hits(texts, index, kinds, id_col, whole_word, clean, shuffled) -> DataFrame:
-    holds = _holds(F.col("_text"), F.col("term"), whole_word)
-    near = F.endswith("_prev", F.col("before")) & F.startswith("_next", F.col("after"))
-    windows = _windows(texts, id_col, clean, () if shuffled else ("_text",))
-    keyed = _with_word_keys(windows, kinds)
-    if not shuffled:
-        # The neighbours decide first: comparing whole texts is the dear part.
-        hit = F.when(near, holds).otherwise(False)
-        close = keyed.join(F.broadcast(index), F.col("_key") == F.col("anchor"))
-        return close.filter(hit).select(id_col)
-    placed = keyed.withColumn("_salt", _salt_of(id_col)).withColumnRenamed("_key", "anchor")
-    close = placed.join(_salted(index), ["anchor", "_salt"]).filter(near)
-    candidates = close.select(F.col(id_col).alias("_id"), "term").distinct()
-    return texts.join(candidates, (F.col(id_col) == F.col("_id")) & holds, "left_semi").select(id_col)
-
-
-def _indexed_hits(texts, terms, id_col, whole_word, clean, shuffled) -> DataFrame:
-    index = written(anchored_terms(terms, whole_word), "anchors")
-    kinds = _profile(index)
-    one = [k for k in kinds if k["mark"] is not None and k["one_word"]]
-    more = [k for k in kinds if k["mark"] is not None and not k["one_word"]]
-    loose = [k for k in kinds if k["mark"] is None]
-    anchored = F.col("anchor").isNotNull()
-
-    # Short anchors occur in most texts and file too much; while they are few,
-    # their terms are scanned, and only texts without such a term go on.
-    def weak(k) -> bool:
-        return bool(k["mark"] is not None and k["mark"] != "=" and k["n"] < ANCHOR_LENGTH)
-
-    short = [k for k in kinds if weak(k)]
-    settled = None
-    if short and sum(k["terms"] for k in short) <= SCAN_TERMS:
-        bare = F.regexp_replace("anchor", "^[=<>]", "")
-        is_weak = anchored & ~F.startswith("anchor", F.lit("=")) & (F.length(bare) < ANCHOR_LENGTH)
-        few = index.filter(is_weak).select("term")
-        settled = _scan_hits(texts, few, id_col, whole_word)
-        texts = _scan_rest(texts, few, whole_word)
-        index = index.filter(~F.coalesce(is_weak, F.lit(False)))
-        one, more = ([k for k in ks if not weak(k)] for ks in (one, more))
-    how = (id_col, whole_word, clean, shuffled)
+
+def _salted(words: DataFrame) -> DataFrame:
+    """Add ``_salt``: the numbers of the tasks that a word with ``n`` occurrences is dealt to."""
+    tasks = F.ceil(F.col("n") / F.lit(TASK_ROWS)).cast("int")
+    return words.withColumn("_salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
+
+
+def _dealt(occurrences: DataFrame, words: DataFrame) -> DataFrame:
+    """Occurrences of words that are looked for, each with one of its word's salts.
+
+    Few words are frequent enough to have more than one; those are sent along.
+    """
+    heavy = words.filter(F.col("n") > TASK_ROWS).select(F.col("_word").alias("_heavy"), F.ceil(F.col("n") / F.lit(TASK_ROWS)).alias("_tasks"))
+    heavy = heavy.distinct()
+    sent = F.broadcast(heavy) if heavy.count() <= BROADCAST_TERMS else heavy
+    placed = occurrences.join(sent, F.col("_word") == F.col("_heavy"), "left")
+    salt = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_tasks")), F.lit(0)).cast("int")
+    return placed.withColumn("_salt", salt).drop("_heavy", "_tasks")
+
+
+def _shuffled_rows(rows: DataFrame, one: TermSet, terms: DataFrame) -> DataFrame:
+    """Distinct ``_row`` of the texts with a term, without sending the dictionary along."""
+    given = [] if one.clean else [one.text().alias("_text")]
+    split = written(rows.select("_row", one.words().alias("_w"), *given), "split")
+    words = split.select("_row", F.explode(F.array_distinct("_w")).alias("_word")).filter(F.col("_word") != "")
+    vocabulary = written(words.groupBy("_word").agg(F.count(F.lit(1)).alias("n")), "vocabulary")
+    offered = _measured(_candidates(terms, one.whole_word), "candidates")
     parts = []
-    if one:
-        filed = index.filter(anchored & F.col("one_word")).select("term", "anchor")
-        parts.append(_one_word_hits(texts, filed, one, *how))
-    if more:
-        filed = index.filter(anchored & ~F.col("one_word")).drop("one_word")
-        parts.append(_phrase_hits(texts, filed, more, *how))
-    if loose:
-        # One pass for each group of terms that may be sent along.
-        n, size = (sum(k[c] for k in loose) for c in ("terms", "bytes"))
-        groups = max(-(-n // BROADCAST_TERMS), -(-size // BROADCAST_BYTES))
-        group = F.pmod(F.xxhash64("term"), F.lit(groups))
-        for g in range(groups):
-            few = index.filter(~anchored & (group == g)).select("term")
-            parts.append(_scan_hits(texts, few, id_col, whole_word))
-    if settled is not None:
-        parts.append(settled)
-    if not parts:
-        return texts.select(id_col).filter(F.lit(False))
-    return reduce(DataFrame.union, parts).distinct()
+    text = F.array_join("_w", " ") if one.clean else F.col("_text")
+    if offered.bare[0]:
+        bare, _ = _scanned(split.withColumn(one.text_col, text), one, _Index(offered.rows.filter("anchor is null"), {}, 0, 0, offered.bare), "_hit")
+        parts.append(bare.filter("_hit > 0").select("_row"))
+    if offered.kinds:
+        anchors = offered.rows.filter("anchor is not null")
+        met = _with_keys(vocabulary, list(offered.kinds)).distinct()
+        met = written(met.join(anchors.select("anchor").distinct(), F.col("_key") == F.col("anchor"), "left_semi"), "answers")
+        # How often the texts hold each anchor; terms that need one they do not hold are out.
+        occurs = met.groupBy(F.col("_key").alias("held")).agg(F.sum("n").alias("occurs"))
+        priced = anchors.join(occurs, F.col("anchor") == F.col("held"), "left")
+        absent = priced.filter("occurs is null").select("term").distinct()
+        filed = _best(priced.join(absent, "term", "left_anti"), "occurs")
+        found = written(met.join(filed, F.col("_key") == F.col("anchor")).drop("_key", "anchor"), "found")
+        single = F.col("one_word") & F.lit(one.clean or not one.whole_word)
+        alone = found.filter(single & _holds(F.col("_word"), F.col("term"), one.whole_word)).select("_word", "n").distinct()
+        dealt = _dealt(words, alone)
+        parts.append(dealt.join(_salted(alone), ["_word", "_salt"], "left_semi").select("_row"))
+        phrases = found.filter(~single).drop("n", "one_word")
+        wanted = found.filter(~single).select("_word", "n").distinct()
+        places = split.select("_row", "_w", F.posexplode("_w").alias("_p", "_word")).withColumn("_p", F.col("_p") + 1)
+        # Words without an anchor are left out before windows are made of them.
+        places = places.join(wanted.select("_word"), "_word", "left_semi")
+        near = {"_prev": F.coalesce(F.get("_w", F.col("_p") - 2), F.lit("")), "_next": F.coalesce(F.get("_w", F.col("_p")), F.lit(""))}
+        windows = places.select("_row", "_word", *(c.alias(k) for k, c in near.items()))
+        asked = phrases.join(_salted(wanted), "_word")
+        close = _dealt(windows, wanted).join(asked, ["_word", "_salt"])
+        close = close.filter(F.endswith("_prev", F.col("before")) & F.startswith("_next", F.col("after")))
+        candidates = close.select(F.col("_row").alias("_of"), "term").distinct()
+        holds = _holds(text, F.col("term"), one.whole_word)
+        parts.append(split.join(candidates, (F.col("_row") == F.col("_of")) & holds, "left_semi").select("_row"))
+    return reduce(DataFrame.union, parts).distinct() if parts else split.select("_row").filter(F.lit(False))
+
+
+# -- flags -----------------------------------------------------------------------------
+
+
+def flag_sets(docs: DataFrame, sets: Sequence[TermSet], keep: Sequence[str] = (), carry: dict[str, Column] | None = None) -> DataFrame:
+    """``keep`` and ``carry`` of every row of ``docs``, and a 0/1 flag for each set.
+
+    Every row is judged by itself, also where ids are null or repeat. ``keep``
+    are columns of ``docs``, ``carry`` further numbers computed once from each
+    row. Sets with an index are looked up together, in one pass over the texts.
+    """
+    carry = carry or {}
+    plans, indexes = [], []
+    for one in sets:
+        terms = usable_terms(one.terms) if one.clean else one.terms.select("term").filter("term <> ''").distinct()
+        if one.clean:  # others never occur in such texts
+            terms = terms.filter(F.col("term") == clean_text(F.col("term")))
+        index = _measured(anchored_terms(terms, one.whole_word), one.flag)
+        plans.append(_plan_for(index.count, index.size) if one.plan == "auto" else one.plan)
+        indexes.append(index)
+    if not sets or all(p == "scan" for p in plans):
+        rows = docs.select(*keep, *dict.fromkeys(s.text_col for s in sets if s.text_col not in keep), *(c.alias(k) for k, c in carry.items()))
+        for one, index in zip(sets, indexes):
+            rows = rows.withColumn("_scan_text", one.text())
+            rows = flag_in_place(rows, index.rows, "_scan_text", one.flag, one.whole_word).drop("_scan_text")
+        return rows.select(*keep, *carry, *(s.flag for s in sets))
+    large = [i for i, p in enumerate(plans) if p == "shuffled"]
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    if large:  # the texts are joined with what is found in them: row numbers have to stay
+        texts = dict.fromkeys(s.text_col for s in sets if s.text_col not in keep)
+        rows = written(rows.select("_row", *keep, *texts, *(c.alias(k) for k, c in carry.items())), "rows")
+        keep, carry = [*keep, *carry], {}
+        for i in large:
+            hits = _shuffled_rows(rows, sets[i], indexes[i].rows.select("term"))
+            hits = hits.select(F.col("_row").alias("_of"), F.lit(1).alias("_hit"))
+            flag = F.coalesce(F.col("_hit"), F.lit(0)).alias(sets[i].flag)
+            rows = rows.join(hits, F.col("_row") == F.col("_of"), "left").select(*rows.columns, flag)
+    known = [sets[i].flag for i in large]
+    small = [i for i in range(len(sets)) if i not in large]
+    order = [*keep, *carry, *(s.flag for s in sets)]
+    if not small:
+        return rows.select(*order)
+    asked, left = [], []
+    for i in small:
+        rows, index = _scanned(rows, sets[i], indexes[i], "_scan")
+        name = f"_scan{len(asked)}" if index.kinds else sets[i].flag
+        rows = rows.withColumnRenamed("_scan", name)
+        if index.kinds:
+            asked.append(sets[i])
+            left.append(index)
+        else:
+            known.append(name)
+    if not asked:
+        return rows.withColumns(carry).select(*order)
+    return _looked_up(rows, asked, left, [*keep, *known], carry).select(*order)
 
 
 def matching_ids(
@@ -306,16 +443,10 @@ def matching_ids(
 ) -> DataFrame:
     """Distinct ids of the texts that contain any of ``terms(term)``.
 
-    ``id_col`` has to be a key of ``docs``. The text is matched as it is; give
-    a cleaned text column, and say so by ``clean``, to match cleaned text.
+    The text is matched as it is; ``clean`` matches it in its cleaned form.
     """
-    if plan not in PLANS:
-        raise ValueError(f"plan must be one of {PLANS}")
-    texts = docs.select(id_col, fill_text(F.col(text_col)).alias("_text"))
-    plan = choose_plan(terms) if plan == "auto" else plan
-    if plan == "scan":
-        return _scan_hits(texts, terms, id_col, whole_word)
-    return _indexed_hits(texts, terms, id_col, whole_word, clean, plan == "shuffled")
+    flagged = flag_sets(docs, [TermSet("_flag", terms, text_col, whole_word, clean, plan)], [id_col])
+    return flagged.filter("_flag = 1").select(id_col).distinct()
 
 
 def flag_matches(
@@ -328,21 +459,12 @@ def flag_matches(
     whole_word: bool = False,
     clean: bool = False,
 ) -> DataFrame:
-    """Add a 0/1 column telling which texts contain any term.
+    """Add a 0/1 column telling which texts contain any term; ``id_col`` may be null or repeat.
 
-    The scan plan tests in place. The other plans find ids first and join them
-    back, so give ``docs`` without columns that need not travel.
+    Give ``docs`` without columns that need not travel with the flags.
     """
-    plan = choose_plan(terms) if plan == "auto" else plan
-    if plan == "scan":
-        return flag_in_place(docs, terms, text_col, flag, whole_word)
-    # Rows without an id are told apart by their text, which is all that counts.
-    named = F.concat(F.lit("\0"), F.md5(fill_text(F.col(text_col))))
-    keyed = docs.withColumn("_key_of", F.coalesce(F.col(id_col).cast("string"), named))
-    hits = matching_ids(keyed, terms, "_key_of", text_col, plan, whole_word, clean)
-    marked = hits.distinct().withColumn(flag, F.lit(1))
-    flagged = keyed.join(marked, "_key_of", "left").withColumn(flag, F.coalesce(flag, F.lit(0)))
-    return flagged.drop("_key_of")
+    keep = [c for c in docs.columns if c != flag]
+    return flag_sets(docs, [TermSet(flag, terms, text_col, whole_word, clean, plan)], keep)
 
 
 def flag_in_place(
@@ -352,7 +474,11 @@ def flag_in_place(
     flag: str = "malware_flag",
     whole_word: bool = False,
 ) -> DataFrame:
-    """The scan plan as a 0/1 column: an existence join that keeps rows where they are."""
+    """The scan plan as a 0/1 column: an existence join that keeps rows where they are.
+
+    The dictionary is sent to all tasks and compared term by term; callers that
+    cannot bound it measure it first (``flag_sets`` does).
+    """
     small = F.broadcast(terms.select(F.col("term").alias("_term")))
     text = fill_text(F.col(text_col)).outer()
     hit = small.filter(_holds(text, F.col("_term"), whole_word)).exists()
@@ -363,17 +489,13 @@ def dictionary_flag(
     docs: DataFrame,
     terms: DataFrame,
     id_col: str,
-    clean_col: str,
+    text_col: str,
     flag: str = "malware_flag",
     plan: str = "auto",
     whole_word: bool = False,
 ) -> DataFrame:
-    """Flag cleaned texts, after leaving out terms that cannot change a flag.
-
-    The remaining terms are written once; measuring and matching read them back.
-    """
-    needed = written(minimal_terms(terms, True, whole_word), "terms")
-    return flag_matches(docs, needed, id_col, clean_col, flag, plan, whole_word, True)
+    """Flag texts by their cleaned form (raw or cleaned text may be given)."""
+    return flag_matches(docs, terms, id_col, text_col, flag, plan, whole_word, True)
 
 
 def gazetteer_flag(

@@ -24,11 +24,11 @@ from lexvane.config import (
 )
 from lexvane.functions.relations import PAIRS, with_relations
 from lexvane.functions.text import clean_text, contains_any
-from lexvane.operators.dictionary import build_terms, malware_names, minimal_terms, terms_as_text
+from lexvane.operators.dictionary import build_terms, malware_names, terms_as_text
 from lexvane.operators.entities import any_malware, derive_label, entity_array, group_width, malware_ids
 from lexvane.operators.evaluate import report_of
 from lexvane.operators.graph import max_degree, total_edges
-from lexvane.operators.match import choose_plan, flag_in_place, gazetteer_names, matching_ids
+from lexvane.operators.match import TermSet, flag_in_place, flag_sets
 from lexvane.operators.model import LogisticFit, fit_logistic
 from lexvane.operators.profile import numeric_summary, share_map
 from lexvane.operators.split import stratified_split
@@ -89,16 +89,6 @@ def row_features(
     )
 
 
-def _with_flag(features: DataFrame, ids: DataFrame, id_col: str, name: str) -> DataFrame:
-    """Flag the given ids; both sides are narrow and unique by id."""
-    marked = ids.withColumn(name, F.lit(1))
-    return (
-        features.drop(name)
-        .join(marked, id_col, "left")
-        .withColumn(name, F.coalesce(F.col(name), F.lit(0)))
-    )
-
-
 def detection_features(
     reports: DataFrame,
     terms: DataFrame,
@@ -108,23 +98,37 @@ def detection_features(
 ) -> DataFrame:
     """``(id, malware flag, keyword flag, entity flag, graph features, target)``.
 
-    A small dictionary is tested while the row is in hand. For a larger one the
-    hits are found as ids, and only ids and numbers are joined.
+    Reports are read once: a text is cleaned and split while it is in hand, both
+    dictionaries are looked up in the same pass, and all else is computed beside
+    it. Every row is judged by itself, also if its id is null or occurs twice.
     """
     wanted = terms_as_text(terms) if cfg.normalize_terms_as_text else terms
-    needed = written(minimal_terms(wanted, True, cfg.whole_word), "terms")
-    plan = choose_plan(needed) if cfg.match_plan == "auto" else cfg.match_plan
-    if plan == "scan":
-        features = row_features(reports, cfg, entity_flag, needed)
-    else:
-        texts = reports.select(cfg.id_col, clean_text(F.col(cfg.text_col)).alias("_clean"))
-        hits = matching_ids(texts, needed, cfg.id_col, "_clean", plan, cfg.whole_word, True)
-        features = _with_flag(row_features(reports, cfg, entity_flag), hits, cfg.id_col, MALWARE_FLAG)
+    sets = [TermSet(MALWARE_FLAG, wanted, cfg.text_col, cfg.whole_word, True, cfg.match_plan)]
     if entities is not None:
-        raw = reports.select(cfg.id_col, cfg.text_col)
-        ids = matching_ids(raw, gazetteer_names(entities, cfg.entity_types), cfg.id_col, cfg.text_col).distinct()
-        features = _with_flag(features, ids, cfg.id_col, ENTITY_FLAG)
-    return features.select(
+        names = entities.filter(F.col("type").isin(*cfg.entity_types)).select(F.col("name").alias("term"))
+        sets.append(TermSet(ENTITY_FLAG, names, cfg.text_col, plan=cfg.match_plan))
+    if cfg.relations_col in reports.columns:
+        parsed = with_relations(reports, cfg.relations_col, "_relations")
+    else:
+        parsed = reports.withColumn("_relations", F.array().cast(PAIRS))
+    staged = parsed.select(
+        cfg.id_col,
+        cfg.text_col,
+        (F.lit(0) if entity_flag is None else entity_flag).alias("_entity"),
+        "_relations",
+        malware_ids(entity_array(reports, ("label", "id"))).alias("_nodes"),
+        any_malware(F.transform(entity_array(reports, ("label",)), lambda e: e["label"])).alias("_target"),
+    )
+    carry = {
+        KEYWORD_FLAG: contains_any(clean_text(F.col(cfg.text_col)), cfg.keywords),
+        MAX_DEGREE: max_degree(F.col("_relations"), F.col("_nodes")),
+        TOTAL_EDGES: total_edges(F.col("_relations")),
+        TARGET: F.col("_target"),
+    }
+    if entities is None:
+        carry[ENTITY_FLAG] = F.col("_entity")
+    flagged = flag_sets(staged, sets, [cfg.id_col], carry)
+    return flagged.select(
         cfg.id_col, MALWARE_FLAG, KEYWORD_FLAG, ENTITY_FLAG, MAX_DEGREE, TOTAL_EDGES, TARGET
     )
 
@@ -190,10 +194,16 @@ class DetectionResult:
     result: dict
 
 
+def split_rows(labelled: DataFrame, cfg: DetectionConfig) -> DataFrame:
+    """The stratified split of the settings, as ``is_test``."""
+    order = None if cfg.split_order is None else F.expr(cfg.split_order)
+    return stratified_split(labelled, cfg.id_col, TARGET, cfg.test_size, cfg.seed, order, cfg.split_order_bits)
+
+
 def _train_rows(reports: DataFrame, cfg: DetectionConfig) -> DataFrame:
     """The rows that the split will train on: a filter, texts are not shuffled."""
     labelled = derive_label(reports.drop(TARGET), TARGET)
-    split = stratified_split(labelled, cfg.id_col, TARGET, cfg.test_size, cfg.seed)
+    split = split_rows(labelled, cfg)
     return split.filter(~F.col("is_test")).drop("is_test", TARGET)
 
 
@@ -259,9 +269,7 @@ def run_detection(
     with_entities = entities is not None or entity_flag is not None
     features = written(detection_features(reports, terms, cfg, entities, entity_flag), "features")
     graph_summary = numeric_summary(features, [MAX_DEGREE, TOTAL_EDGES])
-    split = written(
-        stratified_split(features, cfg.id_col, TARGET, cfg.test_size, cfg.seed), "split"
-    )
+    split = written(split_rows(features, cfg), "split")
     sizes = dict(split.groupBy("is_test").count().collect())  # two rows
     if not sizes.get(True):
         raise ValueError("the test set is empty")

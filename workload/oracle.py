@@ -163,7 +163,9 @@ def scaled(column: str) -> str:
     return f"round(({column} - avg({column}) over ()) / stddev_pop({column}) over (), 6) as {column}"
 
 
-FEATURES = f"""with {DOCS}, {GAZETTEER}, {built(4)}, {SIMPLE},
+def features(terms: str) -> str:
+    """All features of the report-shaped documents, for a dictionary ``terms`` (which brings ``spans``)."""
+    return f"""with {DOCS}, {GAZETTEER}, {terms}, {SIMPLE},
   flags as (select distinct doc_id from docs, terms where contains(c, term)),
   entity as (select distinct doc_id from docs, names where contains(text, name)),
   firsts as (select l_orderkey, arg_min(l_partkey, (l_linenumber, l_partkey, l_suppkey)) as id from lineitem group by all),
@@ -180,6 +182,113 @@ FEATURES = f"""with {DOCS}, {GAZETTEER}, {built(4)}, {SIMPLE},
   from docs left join best using (doc_id) left join totals on docs.doc_id = totals.l_orderkey"""
 
 
+FEATURES = features(built(4))
+
+
+def splitted(table: str, label: str = "true_label") -> str:
+    """CTEs that end in ``splitted``: the table with ``is_test``, by class and hash order."""
+    return f"""c_ as (select {label} as y, count(*) as n from {table} group by all),
+  t_ as (select sum(n) as rows, ceil(sum(n) * 0.2) as wanted from c_),
+  x_ as (select y, n, wanted * n / rows as exact, wanted from c_, t_),
+  s_ as (select y, n, floor(exact) as low, row_number() over (order by exact - floor(exact) desc, y) as place,
+    wanted - sum(floor(exact)) over () as spare from x_),
+  z_ as (select y, cast(low + (case when place <= spare then 1 else 0 end) as bigint) as test from s_),
+  p_ as (select *, row_number() over (partition by {label} order by {HASH}, doc_id) as place_ from {table}),
+  splitted as (select p_.*, place_ <= test as is_test from p_ join z_ on p_.{label} = z_.y)"""
+
+
+def newton(name: str, rows: str, columns: list[str], label: str, steps: int = 12) -> str:
+    """CTEs that end in ``{name}`` with ``b0..bk``: a penalized, class-weighted logistic fit.
+
+    Every step is one aggregate over the merged rows and a Cholesky solution
+    written out; features are scaled, the last coefficient is the intercept.
+    """
+    k = len(columns)
+    n, cells = k + 1, [(i, j) for i in range(k + 1) for j in range(i + 1)]
+    merged = ", ".join(f"cast({c} as double) as f{i}" for i, c in enumerate(columns))
+    out = [
+        f"{name}_m as (select {label} as y, {merged}, count(*) as n from {rows} group by all)",
+        f"{name}_c as (select y, sum(n) as ny, sum(sum(n)) over () as total from {name}_m group by y)",
+        f"{name}_a as (select " + ", ".join(f"sum(f{i} * n) / sum(n) as m{i}" for i in range(k)) + f" from {name}_m)",
+        f"{name}_d as (select " + ", ".join(f"sqrt(sum((f{i} - m{i}) * (f{i} - m{i}) * n) / sum(n)) as d{i}" for i in range(k)) + f" from {name}_m, {name}_a)",
+        f"{name}_s as (select *, " + ", ".join(f"case when d{i} = 0 then 1.0 else d{i} end as e{i}" for i in range(k)) + f" from {name}_a, {name}_d)",
+        f"{name}_p as (select cast(m.y as double) as y, n * total / (2.0 * ny) as w, "
+        + ", ".join(f"(f{i} - m{i}) / e{i} as x{i}" for i in range(k))
+        + f", 1.0 as x{k} from {name}_m m join {name}_c c using (y), {name}_s)",
+        f"{name}_0 as (select " + ", ".join(f"cast(0 as double) as b{i}" for i in range(n)) + ")",
+    ]
+    for t in range(steps):
+        z = " + ".join(f"b{i} * x{i}" for i in range(n))
+        sums = [f"sum(w * (p - y) * x{i}) + any_value(b{i}) as g{i}" for i in range(n)]
+        sums += [f"sum(w * p * (1 - p) * x{i} * x{j}){' + 1' if i == j else ''} as h{i}_{j}" for i, j in cells]
+        sums += [f"any_value(b{i}) as b{i}" for i in range(n)]
+        solve = []
+        for i, j in sorted(cells, key=lambda c: (c[1], c[0])):
+            rest = "".join(f" - l{i}_{q} * l{j}_{q}" for q in range(j))
+            solve.append(f"sqrt(h{i}_{j}{rest}) as l{i}_{j}" if i == j else f"(h{i}_{j}{rest}) / l{j}_{j} as l{i}_{j}")
+        for i in range(n):
+            solve.append(f"(g{i}" + "".join(f" - l{i}_{q} * v{q}" for q in range(i)) + f") / l{i}_{i} as v{i}")
+        for i in reversed(range(n)):
+            solve.append(f"(v{i}" + "".join(f" - l{q}_{i} * u{q}" for q in range(i + 1, n)) + f") / l{i}_{i} as u{i}")
+        out.append(f"{name}_g{t} as (select {', '.join(sums)} from (select *, 1 / (1 + exp(-({z}))) as p from {name}_p, {name}_{t}))")
+        out.append(f"{name}_l{t} as (select *, {', '.join(solve)} from {name}_g{t})")
+        last = name if t == steps - 1 else f"{name}_{t + 1}"
+        out.append(f"{last} as (select " + ", ".join(f"b{i} - u{i} as b{i}" for i in range(n)) + f" from {name}_l{t})")
+    return ",\n  ".join(out)
+
+
+def scored(name: str, columns: list[str]) -> str:
+    """The score of a row by a fit, from its scaled features."""
+    parts = [f"{name}.b{i} * (cast({c} as double) - {name}_s.m{i}) / {name}_s.e{i}" for i, c in enumerate(columns)]
+    return " + ".join([*parts, f"{name}.b{len(columns)}"])
+
+
+TEXT_FEATURES = ["malware_flag", "has_info_keywords", "has_info_entities"]
+GRAPH_FEATURES = [*TEXT_FEATURES, "graph_max_malware_degree", "graph_total_edges"]
+
+
+def compared(table: str) -> str:
+    """CTEs that end in ``m``: the matrices of the three detectors on the test rows of ``table``."""
+    return f"""{splitted(table)},
+  train as (select * from splitted where not is_test),
+  {newton('tf', 'train', TEXT_FEATURES, 'true_label')},
+  {newton('gf', 'train', GRAPH_FEATURES, 'true_label')},
+  judged as (
+    select true_label as y, malware_flag as p0, cast({scored('tf', TEXT_FEATURES)} > 0 as integer) as p1,
+      cast({scored('gf', GRAPH_FEATURES)} > 0 as integer) as p2
+    from splitted, tf, tf_s, gf, gf_s where is_test),
+  each as (select 'dictionary_only' as model, y, p0 as p from judged union all select 'text_flags', y, p1 from judged
+    union all select 'graph', y, p2 from judged),
+  m as (select model, count(*) filter (y = 0 and p = 0) as tn, count(*) filter (y = 0 and p = 1) as fp,
+    count(*) filter (y = 1 and p = 0) as fn, count(*) filter (y = 1 and p = 1) as tp from each group by model)"""
+
+
+def reported(ctes: str) -> str:
+    """The report lines of every model, after CTEs that end in ``m``."""
+    return f"""with {ctes}, r as (select *,
+    tn + fp as s0, fn + tp as s1, tn + fp + fn + tp as n, {ratio('tn + tp', 'tn + fp + fn + tp')} as acc,
+    {ratio('tn', 'tn + fn')} as p0, {ratio('tn', 'tn + fp')} as r0, {ratio('2 * tn', '2 * tn + fn + fp')} as f0,
+    {ratio('tp', 'tp + fp')} as p1, {ratio('tp', 'tp + fn')} as r1, {ratio('2 * tp', '2 * tp + fp + fn')} as f1 from m),
+  lines as (
+    select model, 'Not Malware (0)' as class, p0 as p, r0 as r, f0 as f, s0 as support from r
+    union all select model, 'Malware (1)', p1, r1, f1, s1 from r
+    union all select model, 'accuracy', acc, acc, acc, n from r
+    union all select model, 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n from r
+    union all select model, 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, n from r)
+  select model, class, round(p, 9) as precision, round(r, 9) as recall, round(f, 9) as f1, support from lines"""
+
+
+# The dictionary of the training rows, whose labels come from the spans themselves.
+TRAINED = f"""{SPANS},
+  labelled_docs as (select doc_id, max(cast(coalesce(lower(label) = 'malware', false) as integer)) as true_label from spans group by doc_id),
+  {splitted('labelled_docs')},
+  named as (select doc_id, {strip('substring(text, cast(s as integer) + 1, cast(e - s as integer))')} as name
+    from spans where lower(label) = 'malware' and {VALID} and doc_id in (select doc_id from splitted where not is_test)),
+  terms as (select distinct term from (select {normalize('name')} as term from named where name <> '') where length(term) >= 4)"""
+TERM_LIST = f"with {TRAINED} select term from terms"
+RUN = f"feats as ({features(TRAINED)}), {compared('feats')}"
+
+
 def oracle_sql() -> dict[str, str]:
     flag = flagged(runs(4))
     return {
@@ -246,6 +355,23 @@ def oracle_sql() -> dict[str, str]:
               count(*) filter (true_label = 1 and graph_max_malware_degree = 0) as fn,
               count(*) filter (true_label = 1 and graph_max_malware_degree > 0) as tp
             from g join targets using (l_orderkey)""",
+        "logistic_fit": f"""with flagged_lines as (select *, cast(l_returnflag = 'R' as integer) as y from lineitem),
+            {newton('fit', 'flagged_lines', ['l_quantity', 'l_discount', 'l_tax'], 'y')}
+            select unnest(['l_quantity', 'l_discount', 'l_tax', 'intercept']) as feature, round(unnest([b0, b1, b2, b3]), 7) as weight from fit""",
+        "three_way_report": reported(f"feats as ({FEATURES}), {compared('feats')}"),
+        "detection_run": reported(RUN),
+        "result_document": f"""with {RUN}, cells as (select {', '.join(
+            f"max({c}) filter (model = '{d}') as {d}_{c}" for d in ('dictionary_only', 'text_flags', 'graph') for c in ('tn', 'fp', 'fn', 'tp'))} from m)
+            select (select count(*) from documents) as initial_rows, (select count(*) from splitted where not is_test) as train_rows,
+              (select count(*) from splitted where is_test) as test_rows, (select count(*) from ({TERM_LIST})) as terms,
+              cast(4 as bigint) as min_term_length, '{','.join(GRAPH_FEATURES)}' as features, * from cells""",
+        "one_class_run": f"""with {DOCS}, {LONG_WORDS}, {SPANS},
+            quiet as (select * from docs where doc_id not in (select doc_id from spans where lower(label) = 'malware')),
+            placed as (select doc_id, c, row_number() over (order by {HASH}, doc_id) as place from quiet),
+            test as (select * from placed where place <= (select ceil(count(*) * 0.2) from quiet)),
+            hits as (select distinct doc_id from test, terms where contains(c, term))
+            select cast(2 as integer) as models_skipped, count(*) - (select count(*) from hits) as tn, (select count(*) from hits) as fp,
+              cast(0 as bigint) as fn, cast(0 as bigint) as tp, count(*) as test_rows from test""",
         "detection_features": FEATURES,
         "features_without_entities": f"select * replace (0 as has_info_entities) from ({FEATURES})",
         "recognizer_flag": "select doc_id, cast(contains(text, 'License') as integer) as has_info_entities from documents",

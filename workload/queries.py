@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from lexvane.operators import model as L
 from lexvane.operators import profile as P
 from lexvane.operators.recognizer import recognizer_flag
 from lexvane.operators.split import stratified_split
-from lexvane.plans.detection import compare_detectors, detection_features, run_detection
+from lexvane.plans.detection import BASELINE, SECTIONS, compare_detectors, detection_features, run_detection, split_rows
 from lexvane.sources.reports import check_columns, check_rows, nested_mentions, read_csv, with_row_id
+from lexvane.sources.results import write_result
 from lexvane.sources.terms import load_or_build_terms
 from lexvane.storage import new_path, written
 from lexvane.streaming.scoring import text_flags, write_available
@@ -29,6 +31,8 @@ from workload import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 CONFIG = DetectionConfig(id_col="doc_id")
+# An order of rows that SQL can follow too.
+RUN = replace(CONFIG, dictionary_from="train", split_order="pmod(doc_id * 2654435761, 4294967296)", split_order_bits=32)
 
 
 def q_clean_text(spark, sf):
@@ -42,9 +46,9 @@ def q_normalize_names(spark, sf):
 
 def _match(plan: str, whole_word: bool = False, terms=T.benchmark_terms) -> Query:
     def query(spark, sf):
-        docs = T.cleaned(spark, sf)
+        docs = T.documents(spark, sf)
         flagged = M.dictionary_flag(
-            docs, terms(spark, sf), "doc_id", "clean", "malware_flag", plan, whole_word
+            docs, terms(spark, sf), "doc_id", "text", "malware_flag", plan, whole_word
         )
         return flagged.select("doc_id", "malware_flag")
 
@@ -284,16 +288,59 @@ def q_row_guards(spark, sf):
     return numbered.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("row_id").alias("numbers"))
 
 
+def _rounded(report: DataFrame) -> DataFrame:
+    return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
 def q_three_way_report(spark, sf):
     features = written(q_detection_features(spark, sf), "features")
-    split = written(stratified_split(features, "doc_id", TARGET), "split")
-    return compare_detectors(split, CONFIG).report()
+    return _rounded(compare_detectors(written(split_rows(features, RUN), "split"), CONFIG).report())
+
+
+def _run(spark, sf, reports=None):
+    reports = written(T.full_reports(spark, sf), "reports") if reports is None else reports
+    return run_detection(reports, RUN, entities=T.gazetteer(spark, sf))
 
 
 def q_detection_run(spark, sf):
-    config = DetectionConfig(id_col="doc_id", dictionary_from="train")
+    return _rounded(_run(spark, sf).comparison.report())
+
+
+def _read_back(spark, result: dict) -> DataFrame:
+    """The written JSON document of a run: sizes and the three confusion matrices."""
+    path = new_path(spark, "result")
+    write_result(spark, result, path)
+    info, terms = F.col("dataset_info"), F.col("dictionary_info")
+    cells = {
+        f"{name}_{cell}": F.col(f"{section}.confusion_matrix")[i][j].cast("long")
+        for name, section in SECTIONS.items()
+        for cell, i, j in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))
+    }
+    return spark.read.json(path).select(
+        info["initial_rows"].alias("initial_rows"),
+        info["train_rows"].alias("train_rows"),
+        info["test_rows"].alias("test_rows"),
+        terms["size"].alias("terms"),
+        F.col("config.min_term_length").alias("min_term_length"),
+        F.array_join(F.col("graph_enhanced_evaluation.features_used"), ",").alias("features"),
+        *(c.alias(k) for k, c in cells.items()),
+    )
+
+
+def q_result_document(spark, sf):
+    return _read_back(spark, _run(spark, sf).result)
+
+
+def q_one_class_run(spark, sf):
+    """Reports without a malware label: models are left out, the dictionary is judged alone."""
     reports = written(T.full_reports(spark, sf), "reports")
-    return run_detection(reports, config, entities=T.gazetteer(spark, sf)).comparison.report()
+    quiet = E.derive_label(reports).filter("true_label = 0").drop("true_label")
+    config = replace(RUN, dictionary_from="all")
+    run = run_detection(quiet, config, T.benchmark_words(spark, sf), entities=T.gazetteer(spark, sf))
+    skipped = sum(m is None for m in run.comparison.models.values())
+    ((tn, fp), (fn, tp)) = run.result[SECTIONS[BASELINE]]["confusion_matrix"]
+    rows = [(skipped, tn, fp, fn, tp, run.result["dataset_info"]["test_rows"])]
+    return spark.createDataFrame(rows, "models_skipped int, tn long, fp long, fn long, tp long, test_rows long")
 
 
 def q_logistic_fit(spark, sf):
@@ -301,7 +348,7 @@ def q_logistic_fit(spark, sf):
     features = ["l_quantity", "l_discount", "l_tax"]
     fit = L.fit_logistic(lines, features, "y")
     rows = [(n, float(w)) for n, w in zip([*features, "intercept"], [*fit.coefficients, fit.intercept])]
-    return spark.createDataFrame(rows, "feature string, weight double")
+    return spark.createDataFrame(rows, "feature string, weight double").withColumn("weight", F.round("weight", 7))
 
 
 def q_stream_match(spark, sf):
