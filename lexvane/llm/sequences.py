@@ -1,8 +1,10 @@
 """Hashing runs of bytes or words of many texts at once, with numpy inside tasks.
 
-A hash of a run is a difference of prefix sums ``sum(symbol[i] * B**i)`` (modulo
-2**64), shifted back by a power of the inverse of ``B`` and mixed; so every run
-of any length costs the same.
+A hash of a run is a difference of prefix sums ``sum(symbol[i] * B**i)`` modulo
+the prime 2**61 - 1, shifted back by a power of the inverse of ``B`` and mixed; so
+every run of any length costs the same. (Modulo a power of two, two different
+runs of a regular kind, the Thue-Morse sequence and its complement, are equal
+whatever ``B`` and the symbols are.)
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ import pyarrow as pa
 
 CHUNK = 1 << 20  # bytes of text worked on at once; a longer text is a chunk of its own
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = (1 << 61) - 1
+_BASE = 0x1E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, _PRIME)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -38,32 +41,58 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+def _below(x: np.ndarray) -> np.ndarray:
+    """Numbers modulo the prime."""
+    x = (x & np.uint64(_PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(_PRIME), x - np.uint64(_PRIME), x)
+
+
+def _times(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    """Products modulo the prime, of factors below it, by halves of 32 bits."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    cross, least = a1 * b0 + a0 * b1, a0 * b0
+    total = (a1 * b1 << np.uint64(3)) + (cross >> np.uint64(29))
+    total += (cross & np.uint64((1 << 29) - 1)) << half
+    total += (least >> np.uint64(61)) + (least & np.uint64(_PRIME))
+    return _below(total)
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         size = max(n, CHUNK + 4096)
         for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
+            known = _powers[i]
+            while len(known) < size:
+                step = np.uint64(pow(base, len(known), _PRIME))
+                known = np.concatenate([known, _times(known[: size - len(known)], step)])
+            _powers[i] = known
     return _powers[0], _powers[1]
 
 
 def prefix(symbols: np.ndarray) -> np.ndarray:
     n = len(symbols)
+    terms = _times(_below(symbols), _power(n + 1)[0][:n])
+    # Sums of the upper and of the lower bits cannot overflow below 2**32 symbols.
+    upper, lower = np.cumsum(terms >> np.uint64(32)), np.cumsum(terms & np.uint64(0xFFFFFFFF))
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(symbols * _power(n + 1)[0][:n], out=sums[1:])
+    sums[1:] = _below(
+        (upper >> np.uint64(29)) + ((upper & np.uint64((1 << 29) - 1)) << np.uint64(32)) + _below(lower)
+    )
     return sums
 
 
 def run_hash(sums: np.ndarray, start: np.ndarray, length: np.ndarray | int, salt: int = 0) -> np.ndarray:
     """Hashes of the runs ``[start, start + length)``."""
-    return mix((sums[start + length] - sums[start]) * _power(len(sums))[1][start] + np.uint64(salt))
+    parts = _below(sums[start + length] + np.uint64(_PRIME) - sums[start])
+    return mix(_times(parts, _power(len(sums))[1][start]) + np.uint64(salt))
 
 
 def all_runs(sums: np.ndarray, length: int) -> np.ndarray:
     """Hashes of the runs of one length at every place."""
     n = len(sums) - length
-    return mix((sums[length:] - sums[:n]) * _power(len(sums))[1][:n])
+    parts = _below(sums[length:] + np.uint64(_PRIME) - sums[:n])
+    return mix(_times(parts, _power(len(sums))[1][:n]))
 
 
 class Symbols(NamedTuple):
@@ -150,11 +179,11 @@ def anchors(symbols: Symbols, sums: np.ndarray, n: int, k: int) -> tuple[Anchors
     return Anchors(np.searchsorted(bounds, first, side="right") - 1, place, first, count), runs
 
 
-def text_chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about CHUNK bytes together."""
+def text_chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes together."""
     at, size = 0, 0
     for i, text in enumerate(texts):
-        if i > at and size + len(text) > CHUNK:
+        if i > at and size + len(text) > most:
             yield at, i
             at, size = i, 0
         size += len(text) + 1

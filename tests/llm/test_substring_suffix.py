@@ -53,6 +53,32 @@ def test_words_equal_brute_force(docs, corpus):
     assert sum(r[2] > 0 for r in want) > 15
 
 
+def regular_words():
+    """Two different long words of a kind that sums modulo a power of two take for equal."""
+    places = [bin(i).count("1") % 2 for i in range(2048)]
+    return "".join("ab"[p] for p in places), "".join("ba"[p] for p in places)
+
+
+def test_regular_long_words_are_told_apart(spark):
+    one, other = regular_words()
+    common = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join([*common, one])), (2, " ".join([*common, other])), (3, " ".join([*common, one]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, substring_dedup.remove_repeats(frame).collect()), key=repr) == expected_words(rows)
+    assert sorted(map(tuple, suffix_dedup.remove_repeats(frame).collect()), key=repr) == expected_bytes(rows)
+    held = seq.word_symbols([one.encode(), other.encode()]).values
+    assert held[0] != held[1]
+
+
+def test_hash_sums_are_exact():
+    r = np.random.default_rng(4)
+    symbols = r.integers(0, 1 << 63, 700).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    total, sums = 0, seq.prefix(symbols)
+    for i, x in enumerate(symbols.tolist()):
+        total = (total + x * pow(seq._BASE, i, seq._PRIME)) % seq._PRIME
+        assert int(sums[i + 1]) == total
+
+
 def test_bytes_equal_brute_force(docs, corpus):
     got = suffix_dedup.remove_repeats(docs)
     want = expected_bytes(corpus)
