@@ -78,8 +78,7 @@ def document_counts(docs: DataFrame, common: dict[str, str] = COMMON) -> DataFra
     Everything is computed inside the row; nothing is shuffled.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lang = F.coalesce(F.col("lang"), F.lit(""))
-    rows = docs.select("doc_id", lang.alias("lang"), text.alias("text"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
+    rows = docs.select("doc_id", "lang", text.alias("text"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
     lists = F.create_map(*[x for k, v in common.items() for x in (F.lit(k), F.array(*[F.lit(t) for t in v.split()]))])
     windows = F.when(
         F.size("w") >= 3,
@@ -179,8 +178,8 @@ def judge_quality(
     references = written(language_references(counts), "quality-references")
     if references.count() <= SEND_ROWS:
         references = F.broadcast(references)
-    joined = counts.join(references, F.col("lang") == F.col("ref_lang"), "left")
-    listed = F.col("lang").isin(*common)
+    joined = counts.join(references, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    listed = F.coalesce(F.col("lang").isin(*common), F.lit(False))
     by_class = F.when(F.col("n_chars") >= MIN_CLASS_CHARS, distance(_shares(F.col("classes")), F.col("ref_classes")))
     by_word = F.when((F.col("n_words") >= MIN_WORDS) & listed, distance(_shares(F.col("words")), F.col("ref_words")))
     far = (F.coalesce(by_class, F.lit(0.0)) > max_class_distance) | (F.coalesce(by_word, F.lit(0.0)) > max_word_distance)

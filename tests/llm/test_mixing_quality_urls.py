@@ -164,6 +164,14 @@ def test_distance_is_jensen_shannon(spark):
     assert got == pytest.approx(np.sqrt((divergence(p) + divergence(q)) / 2))
 
 
+def test_null_language_is_its_own(spark):
+    letters, digits = " ".join(["plain words here"] * 1 + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)]), " ".join(str(i * 7919) for i in range(150))
+    rows = [(i, letters, None) for i in range(2)] + [(10 + i, digits, "") for i in range(9)]
+    got = quality.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == 11
+    assert all(r["kept"] and r["class_distance"] < 1e-6 for r in got)
+
+
 def test_main_path_of_quality_has_no_python(docs):
     plan = quality.document_counts(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
