@@ -15,9 +15,8 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexvane.storage import written
@@ -371,14 +370,28 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def is_toxic(text: Column, model: Model) -> Column:
-    """The same verdict as a column expression, to filter whole rows in place."""
-    sent = SparkSession.active().sparkContext.broadcast(model.lexicon)
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows whose texts ``score`` would not predict as toxic, all columns as they are.
 
-    @F.pandas_udf("array<double>")
-    def features(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        finder = Finder(sent.value)
-        for part in parts:
-            yield pd.Series([finder.features(t or "") for t in part])
+    Each row is judged by its text alone, so null ids and repeated rows are
+    judged like others; null and empty texts have no finds. Whole batches pass
+    through and are filtered; texts are unpacked a few hundred at a time.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model.lexicon)
+    *slopes, constant = model.weights
+    place = docs.columns.index("text")
 
-    return _chance(features(text), model.weights) >= 0.5
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(sent.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                logits = []
+                for text in part.column(place).to_pylist():
+                    logit = constant
+                    for w, x in zip(slopes, finder.features(text or "")):
+                        logit = logit + w * x
+                    logits.append(logit)
+                yield part.filter(pa.array(np.array(logits) < 0))
+
+    return docs.mapInArrow(run, docs.schema)

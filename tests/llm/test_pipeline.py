@@ -55,4 +55,4 @@ def test_edge_rows_pass_all_stages(spark, docs, empty):
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
