@@ -20,10 +20,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned lexicon does not reject.
 
     The verdict is made beside the row, so null ids and repeated rows are judged
-    like others.
+    like others. Null and empty texts stay unless the labels call empty texts
+    toxic; very long texts are read whole; an empty table stays empty; further
+    columns pass through.
     """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.filter(~toxicity.is_toxic(F.col("text"), model))
+    return toxicity.without_toxic(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +48,22 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, a row for each copy, in training order."""
+    """The documents the mix takes, a row for each copy, in training order.
+
+    Texts without words (null, empty) add nothing to a mix and are left out; a
+    null source is a source of its own; equal positions are ordered by id;
+    repeated rows are documents of their own; an empty table stays empty.
+    """
     return mixing.training_stream(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the text they decode to."""
+    """Token ids of every document, and the text they decode to.
+
+    Null texts are empty and have no tokens; repeated rows and ids stay as they
+    are; very long texts are cut at forced boundaries only; an empty table stays
+    empty.
+    """
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
