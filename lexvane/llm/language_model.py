@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ BITS, PROBES = 10, 6  # bits for each name in the filter, probes for each questi
 PRIOR = 1000.0  # M
 ADDED = 0.1
 BUCKET_KEYS = 16_384  # n-grams a bucket has, about
-SEND_BYTES = 64 << 20  # of the filter, and of the word counts, sent at once
-WORD_FILTER_BYTES = 64 << 20  # most of the filter of words, which every pass needs
+SEND_BYTES = 64 << 20  # of the filter, or of the word counts, in a block
+GROUP = 16  # MB of text, at most, that a task takes through all blocks at once
 FLUSH = 4_000_000  # pairs counted in a task before they are handed on
 
 END = np.uint64(0x5DEECE66D1234567)  # the token that ends a text
@@ -269,11 +270,9 @@ def score_documents(docs: DataFrame, limit: int = SEND_BYTES) -> DataFrame:
     table. Without any training row nothing is known and each token counts the
     same.
 
-    Word counts and the filter are sent in blocks of ``limit`` bytes, one pass
-    over the texts for each, and the parts of a document summed up: what is
-    sent at once is bounded at any size. The filter of words stays below a
-    fixed size, at the price of more false answers beyond some ten million
-    different words.
+    Word counts and the filter are sent in blocks of ``limit`` bytes, and a task
+    holds one block at a time: texts are read and cut into tokens once, and the
+    different words and pairs of a group of texts go through block after block.
     """
     train = docs.filter(~held_out())
     # A word takes six bytes or so; a guess of the tokens sizes the buckets.
@@ -283,106 +282,86 @@ def score_documents(docs: DataFrame, limit: int = SEND_BYTES) -> DataFrame:
     words = written(_summed(_counted(train, False, word_shift), False, word_shift), "lm-words")
     two = written(_summed(_counted(train, True, shift), True, shift), "lm-pairs")
     known = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("v"), F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.length("bits")), F.lit(0)).alias("bytes")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("v"), F.coalesce(F.sum("total"), F.lit(0)).alias("n")
     ).first()
     total, distinct = known["n"], known["v"]
 
-    word_blocks = _blocks(words, "hashes", limit // 2) or [(0, 0)]
-    pair_blocks = _blocks(two, "bits", limit) or [(0, 0)]
-    word_filter = _load_filter(words, word_shift, 0, (1 << (64 - word_shift)) - 1)
+    context = docs.sparkSession.sparkContext
+    word_blocks, pair_blocks = _blocks(words, "hashes", limit // 2), _blocks(two, "bits", limit)
+    of_words = [
+        context.broadcast((*_load_words(words, *span), _load_filter(words, word_shift, *span)))
+        for span in _covers(word_blocks, word_shift)
+    ]
+    of_pairs = [context.broadcast(_load_filter(two, shift, *span)) for span in _covers(pair_blocks, shift)]
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    parts = []
-    for i in range(max(len(word_blocks), len(pair_blocks))):
-        exact = _load_words(words, *word_blocks[i]) if i < len(word_blocks) else None
-        found = _load_filter(two, shift, *_cover(pair_blocks, i, shift)) if i < len(pair_blocks) else None
-        span = _cover(word_blocks, i, word_shift) if i < len(word_blocks) else None
-        parts.append(_scored(rows, (exact, span, word_shift), found, word_filter, total, distinct))
-    if len(parts) == 1:
-        out = parts[0]
-    else:
-        every = parts[0]
-        for part in parts[1:]:
-            every = every.unionByName(part)
-        sums = every.groupBy("doc_id", "held_out", "row", "n_tokens").agg(
-            F.sum("n_known").alias("n_known"),
-            F.sum("base_score").alias("base_score"),
-            F.sum("score").alias("score"),
-            (F.count(F.lit(1)) / len(parts)).cast("int").alias("copies"),
-        )
-        once = sums.select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            *[(F.col(c) / F.col("copies")).alias(c) for c in ("n_known", "base_score", "score")],
-            F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"),
-        )
-        out = once.withColumn("n_known", F.round("n_known").cast("long"))
+    out = _scored(rows, of_words, of_pairs, shift, total, distinct)
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )
 
 
-def _cover(blocks: list[tuple[int, int]], i: int, shift: int) -> tuple[int, int]:
-    """Buckets of block i, with the empty ones up to the next block."""
-    low = blocks[i][0] if i else 0
-    high = blocks[i + 1][0] - 1 if i + 1 < len(blocks) else (1 << (64 - shift)) - 1
-    return low, high
+def _covers(blocks: list[tuple[int, int]], shift: int) -> list[tuple[int, int]]:
+    """The ranges of buckets, widened by the empty ones up to the next block."""
+    ends = [low - 1 for low, _ in blocks[1:]] + [(1 << (64 - shift)) - 1]
+    return [(low if i else 0, end) for i, ((low, _), end) in enumerate(zip(blocks or [(0, 0)], ends))]
+
 
+def _in_turn(sent: list[Broadcast]) -> Iterator:
+    """The blocks one after the other; a task keeps none but a single one."""
+    for handle in sent:
+        yield handle.value
+        if len(sent) > 1:
+            vars(handle).pop("_value", None)  # it is read from the worker's disk again when needed
 
-def _scored(rows: DataFrame, exact: tuple, found: Filter | None, word_filter: Filter, total: int, distinct: int) -> DataFrame:
-    """The parts of scores that tokens of these words and pairs add."""
-    sent = rows.sparkSession.sparkContext.broadcast((exact, found, word_filter))
+
+def _scored(
+    rows: DataFrame, of_words: list[Broadcast], of_pairs: list[Broadcast], shift: int, total: int, distinct: int
+) -> DataFrame:
+    """Scores of all rows, in one pass over them."""
     below = total + ADDED * (distinct + 1)
+    most = seq.CHUNK * min(GROUP, max(len(of_words), len(of_pairs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (words, span, shift), pair_filter, of_words = sent.value
         for batch in batches:
             texts = seq.texts_of(batch.column(2))
-            for a, b in seq.text_chunks(texts):
+            for a, b in seq.text_chunks(texts, most):
                 values, bounds = tokens(texts[a:b])
                 lengths = np.diff(bounds)
                 owner = np.repeat(np.arange(b - a), lengths)
                 different, back = np.unique(values, return_inverse=True)
-                base, seen = np.zeros(len(different)), np.zeros(len(different), np.int64)
-                if words is not None:
-                    counts = _exact_counts(different, *words)
-                    bucket = _bucket(different, shift)
-                    mine = (bucket >= span[0]) & (bucket <= span[1])
-                    base = np.where(mine, np.log10((counts + ADDED) / below), 0.0)
-                    seen = (mine & (counts > 0)).astype(np.int64)
-                score = np.zeros(len(values))
-                if pair_filter is not None:
-                    about = of_words.counts(different)
-                    here = about[back]
-                    first = np.zeros(len(values))
-                    first[1:] = here[:-1]
-                    first[bounds[:-1]] = of_words.counts(np.array([END]))[0]
-                    asked, again = np.unique(_known_bits(pairs(values, bounds), pair_filter.shift), return_inverse=True)
-                    held = pair_filter.holds(asked)
-                    together = np.zeros(len(asked))
-                    together[held] = pair_filter.counts(asked[held])
-                    both = np.minimum(together[again], np.minimum(first, here))
-                    alone = (here + ADDED) / below
-                    score = np.where(held[again], np.log10((both + PRIOR * alone) / (first + PRIOR)), 0.0)
+                exact, about = np.zeros(len(different), np.int64), np.zeros(len(different))
+                for words, counts, found in _in_turn(of_words):
+                    mine = np.flatnonzero(found.holds(different))
+                    exact[mine] = _exact_counts(different[mine], words, counts)
+                    about[mine] = found.counts(different[mine])
+                here = about[back]
+                first = np.empty(len(values))
+                first[1:] = here[:-1]
+                first[bounds[:-1]] = about[np.searchsorted(different, END)]
+                asked, again = np.unique(_known_bits(pairs(values, bounds), shift), return_inverse=True)
+                together = np.zeros(len(asked))
+                for found in _in_turn(of_pairs):
+                    mine = np.flatnonzero(found.holds(asked))
+                    together[mine] = found.counts(asked[mine])
+                both = np.minimum(together[again], np.minimum(first, here))
+                score = np.log10((both + PRIOR * (here + ADDED) / below) / (first + PRIOR))
+                base = np.log10((exact + ADDED) / below)
                 part = batch.slice(a, b - a)
-                row = seq.run_hash(seq.prefix(values), bounds[:-1], lengths).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(1),
-                        pa.array(row),
                         pa.array(lengths),
-                        pa.array(np.bincount(owner, seen[back], b - a).astype(np.int64)),
+                        pa.array(np.bincount(owner, (exact > 0)[back], b - a).astype(np.int64)),
                         pa.array(np.bincount(owner, base[back], b - a)),
                         pa.array(np.bincount(owner, score, b - a)),
                     ],
-                    ["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "score"],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run,
-        f"doc_id {kind}, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double",
+        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
 
 

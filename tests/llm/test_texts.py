@@ -125,6 +125,22 @@ def test_no_training_rows(spark):
     assert {round(r["base_score"], 9) for r in rows} == {0.0}
 
 
+def test_regular_long_words_are_two_words(spark):
+    places = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = "".join("ab"[p] for p in places), "".join("ba"[p] for p in places)
+    kept = [i for i in range(50) if not is_held_out(i, 10)][:2]
+    rows = [(kept[0], one), (kept[1], other)]
+    got = language_model.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # Training tokens: each word once, the end twice; three different ones.
+    want = math.log10(1.1 / (4 + 0.1 * 4)) + math.log10(2.1 / (4 + 0.1 * 4))
+    assert [r["base_score"] for r in got] == pytest.approx([want, want])
+
+
+def test_texts_are_read_in_one_pass(docs):
+    plan = language_model.score_documents(docs, 4000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan and "hashpartitioning" not in plan
+
+
 def test_filter_answers():
     r = np.random.default_rng(2)
     h = r.integers(0, 1 << 63, 4000).astype(np.uint64)
@@ -219,7 +235,7 @@ def test_held_out_accuracy(spark):
         assert r["held_out"] == is_held_out(r["doc_id"], 5)
     assert by_id[5000]["predicted"] == by_id[5001]["predicted"] == 0
     assert by_id[None]["predicted"] == 1 and by_id[5002]["predicted"] == 1
-    kept = docs.filter(~toxicity.is_toxic(docs["text"], model)).count()
+    kept = toxicity.without_toxic(docs, model).count()
     assert kept == sum(1 - r["predicted"] for r in got)
 
 
