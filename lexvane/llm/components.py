@@ -24,20 +24,21 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    while True:
-        large = written(_handed(edges, both=True), "large-star")
-        small = written(_handed(large, both=False), "small-star")
-        # Done when every node has one link, and its end has none further down.
-        ends = small.select(F.col("v").alias("end")).distinct()
-        state = small.join(ends, F.col("u") == F.col("end"), "left_semi").limit(1)
-        edges = small
-        if state.isEmpty():
-            break
+    while not _stars(edges):
+        edges = written(_handed(written(_handed(edges, both=True), "large-star"), both=False), "small-star")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one link down, and no end of a link has one."""
+    downs = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("end"))
+    ends = edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("end"))
+    roles = downs.unionByName(ends).groupBy("node").agg(F.sum("down").alias("down"), F.max("end").alias("end"))
+    return roles.filter((F.col("down") > 1) | ((F.col("down") == 1) & (F.col("end") == 1))).isEmpty()
+
+
 def _handed(edges: DataFrame, both: bool) -> DataFrame:
     """Large star (``both``): neighbours above a node link to its smallest neighbour.
 
@@ -45,13 +46,12 @@ def _handed(edges: DataFrame, both: bool) -> DataFrame:
     """
     down = edges.select(F.col("u").alias("x"), F.col("v").alias("y"))
     near = down.unionByName(edges.select(F.col("v").alias("x"), F.col("u").alias("y"))) if both else down
-    least = near.groupBy("x").agg(F.min("y").alias("m"))
-    least = written(least.select("x", F.least("x", "m").alias("m")), "least")
+    least = near.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
     named = near.join(least.withColumnRenamed("x", "x2"), F.col("x") == F.col("x2"))
     if both:
         handed = named.filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v"))
     else:
-        handed = named.select(F.col("y").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select(F.col("x").alias("u"), F.col("m").alias("v"))
-        )
+        # The node's own link to the smallest comes along with its first neighbour.
+        ends = F.array_distinct(F.array("x", "y"))
+        handed = named.select(F.explode(ends).alias("u"), F.col("m").alias("v"))
     return handed.filter("u != v").distinct()

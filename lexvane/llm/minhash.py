@@ -153,12 +153,12 @@ def _shingle_rows(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` of at least this weighted Jaccard similarity."""
+    """The pairs ``(a, b)`` (and what is beside them) of at least this weighted Jaccard similarity."""
     left = shingles.select(F.col("id").alias("a2"), F.col("shingles").alias("sa"))
     right = shingles.select(F.col("id").alias("b2"), F.col("shingles").alias("sb"))
     both = pairs.join(left, F.col("a") == F.col("a2")).join(right, F.col("b") == F.col("b2"))
     shared = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(shared >= least * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    return both.filter(shared >= least * (F.size("sa") + F.size("sb") - shared)).select(*pairs.columns)
 
 
 def near_duplicates(
@@ -198,8 +198,7 @@ def near_duplicates(
 
     pairs = member.filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = written(_verified(pairs, shingles, least), "near")
-    classes = _joined(member, shingles, links, least)
-    classes = components(classes.unionByName(copies))
+    classes = components(_joined(member, shingles, links, least).unionByName(copies))
     out = docs.select("doc_id").join(classes, F.col("doc_id") == F.col("node"), "left")
     own = F.coalesce("component", F.col("doc_id").cast("long"))
     kept = F.coalesce(own == F.col("doc_id"), F.lit(True))
@@ -207,32 +206,40 @@ def near_duplicates(
 
 
 def _joined(member: DataFrame, shingles: DataFrame, links: DataFrame, least: float) -> DataFrame:
-    """All links needed for the classes, beginning with those to the first hubs."""
-    cells = member.select("id", "cell")
-    while True:
-        open_ = written(_open_buckets(cells, components(links)), "open")
-        if open_.isEmpty():
-            return links
-        ends = links.select(F.explode(F.array("a", "b")).alias("end"))
-        degree = ends.groupBy("end").agg(F.count(F.lit(1)).alias("degree"))
-        ranked = open_.join(degree, F.col("id") == F.col("end"), "left").fillna(0, ["degree"])
-        best = ranked.groupBy("cell").agg(F.min(F.struct(-F.col("degree"), "id", "class")).alias("hub"))
-        best = written(best.select(F.col("cell").alias("hub_cell"), "hub.id", "hub.class").toDF("hub_cell", "hub", "hub_class"), "hubs")
+    """Links ``(a, b)`` whose components are the classes, beginning with those to the first hubs.
+
+    Classes are contracted: a round compares members of buckets that hold
+    several classes with a hub of another class, and only the pairs of classes
+    it links go into the next components.
+    """
+    first = components(links)
+    every = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    degree = every.groupBy(F.col("b").alias("end")).agg(F.count(F.lit(1)).alias("degree"))
+    named = member.select("id", "cell").join(first, F.col("id") == F.col("node"), "left")
+    named = named.join(degree, F.col("id") == F.col("end"), "left")
+    named = named.select("id", "cell", F.coalesce("component", "id").alias("class"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    open_ = _open_buckets(named)
+    while not open_.isEmpty():
+        best = open_.groupBy("cell").agg(F.min(F.struct(-F.col("degree"), "id", "class")).alias("hub"))
+        best = best.select(F.col("cell").alias("hub_cell"), F.col("hub.id").alias("hub"), F.col("hub.class").alias("hub_class"))
         tried = open_.join(best, (F.col("cell") == F.col("hub_cell")) & (F.col("class") != F.col("hub_class")))
-        tried = tried.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+        tried = tried.select(F.col("id").alias("a"), F.col("hub").alias("b"), "class", "hub_class").distinct()
         more = written(_verified(tried, shingles, least), "near")
         if more.isEmpty():
-            return links.unionByName(written(_verified(_across(open_), shingles, least), "near"))
-        links = written(links.unionByName(more), "near")
-
-
-def _open_buckets(cells: DataFrame, classes: DataFrame) -> DataFrame:
-    """``id, cell, class`` of the members of buckets that hold several classes."""
-    named = cells.join(classes, F.col("id") == F.col("node"), "left")
-    named = written(named.select("id", "cell", F.coalesce("component", "id").alias("class")), "classed")
+            return every.unionByName(written(_verified(_across(open_), shingles, least), "near"))
+        pairs = more.select(F.col("class").alias("a"), F.col("hub_class").alias("b")).distinct()
+        merged = components(pairs)
+        every = every.unionByName(pairs)
+        again = open_.join(merged, F.col("class") == F.col("node"), "left")
+        open_ = _open_buckets(again.select("id", "cell", F.coalesce("component", "class").alias("class"), "degree"))
+    return every
+
+
+def _open_buckets(named: DataFrame) -> DataFrame:
+    """``id, cell, class, degree`` of the members of buckets that hold several classes."""
+    named = written(named, "classed")
     several = named.groupBy("cell").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
-    several = written(several.select("cell"), "several")
-    return named.join(several, "cell", "left_semi")
+    return written(named.join(several.select("cell"), "cell", "left_semi"), "open")
 
 
 def _across(open_: DataFrame) -> DataFrame:
