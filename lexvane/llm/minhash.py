@@ -196,7 +196,8 @@ def near_duplicates(
     needed = member.select(F.col("id").alias("needed")).distinct()
     shingles = written(_shingle_rows(ids.join(needed, F.col("id") == F.col("needed"), "left_semi"), n), "shingles")
 
-    pairs = member.filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    # One hub a member to begin with, the smallest: the rounds see to all that it leaves open.
+    pairs = member.filter("id != hub").groupBy(F.col("id").alias("a")).agg(F.min("hub").alias("b"))
     links = written(_verified(pairs, shingles, least), "near")
     classes = components(_joined(member, shingles, links, least).unionByName(copies))
     out = docs.select("doc_id").join(classes, F.col("doc_id") == F.col("node"), "left")
