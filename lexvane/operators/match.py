@@ -379,22 +379,43 @@ def _shuffled_rows(rows: DataFrame, one: TermSet, terms: DataFrame) -> DataFrame
 # -- flags -----------------------------------------------------------------------------
 
 
-def flag_sets(docs: DataFrame, sets: Sequence[TermSet], keep: Sequence[str] = (), carry: dict[str, Column] | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Filed:
+    """A dictionary measured, filed under its anchors and written, with the plan to use."""
+
+    plan: str
+    index: _Index
+
+
+def file_sets(sets: Sequence[TermSet]) -> list[Filed]:
+    """The sets' dictionaries made ready; good for any number of ``flag_sets`` calls."""
+    filed = []
+    for one in sets:
+        terms = usable_terms(one.terms) if one.clean else one.terms.select("term").filter("term <> ''").distinct()
+        if one.clean:  # others never occur in such texts
+            terms = terms.filter(F.col("term") == clean_text(F.col("term")))
+        index = _measured(anchored_terms(terms, one.whole_word), one.flag)
+        filed.append(Filed(_plan_for(index.count, index.size) if one.plan == "auto" else one.plan, index))
+    return filed
+
+
+def flag_sets(
+    docs: DataFrame,
+    sets: Sequence[TermSet],
+    keep: Sequence[str] = (),
+    carry: dict[str, Column] | None = None,
+    filed: Sequence[Filed] | None = None,
+) -> DataFrame:
     """``keep`` and ``carry`` of every row of ``docs``, and a 0/1 flag for each set.
 
     Every row is judged by itself, also where ids are null or repeat. ``keep``
     are columns of ``docs``, ``carry`` further numbers computed once from each
     row. Sets with an index are looked up together, in one pass over the texts.
+    ``filed`` are the sets as ``file_sets`` made them ready, else that is done here.
     """
     carry = carry or {}
-    plans, indexes = [], []
-    for one in sets:
-        terms = usable_terms(one.terms) if one.clean else one.terms.select("term").filter("term <> ''").distinct()
-        if one.clean:  # others never occur in such texts
-            terms = terms.filter(F.col("term") == clean_text(F.col("term")))
-        index = _measured(anchored_terms(terms, one.whole_word), one.flag)
-        plans.append(_plan_for(index.count, index.size) if one.plan == "auto" else one.plan)
-        indexes.append(index)
+    filed = file_sets(sets) if filed is None else filed
+    plans, indexes = [f.plan for f in filed], [f.index for f in filed]
     if not sets or all(p == "scan" for p in plans):
         rows = docs.select(*keep, *dict.fromkeys(s.text_col for s in sets if s.text_col not in keep), *(c.alias(k) for k, c in carry.items()))
         for one, index in zip(sets, indexes):

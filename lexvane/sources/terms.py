@@ -1,4 +1,4 @@
-"""Dictionaries kept as text, one term per line."""
+"""Dictionaries kept as text, one term per line, or as numbered versions."""
 
 from __future__ import annotations
 
@@ -46,3 +46,29 @@ def load_or_build_terms(
         pass
     built = written(build(), "dictionary")
     return (read_terms(spark, path) if write_terms(built, path) else built), False
+
+
+def publish_terms(terms: DataFrame, folder: str) -> int:
+    """Write the terms as the next version of a dictionary; its number, from 1.
+
+    Readers see a version only after its number is listed, which is one small
+    file written last. One publisher at a time; earlier versions stay.
+    """
+    spark = terms.sparkSession
+    try:
+        version = newest_version(spark, folder) + 1
+    except PySparkException:  # nothing published yet
+        version = 1
+    usable_terms(terms).write.mode("overwrite").parquet(f"{folder}/terms-{version}")
+    spark.range(version, version + 1, 1, 1).write.mode("append").parquet(f"{folder}/published")
+    return version
+
+
+def newest_version(spark: SparkSession, folder: str) -> int:
+    """The number of the newest published version."""
+    return spark.read.parquet(f"{folder}/published").agg(F.max("id")).first()[0]
+
+
+def version_terms(spark: SparkSession, folder: str, version: int) -> DataFrame:
+    """The terms of one published version."""
+    return spark.read.parquet(f"{folder}/terms-{version}")

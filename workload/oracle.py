@@ -378,6 +378,9 @@ def oracle_sql() -> dict[str, str]:
         "row_guards": "select count(*) as rows, count(*) as numbers from documents",
         "value_shares_missing": """select cast(floor(value / 10) as double) as value, count(*) as n, round(count(*) / sum(count(*)) over (), 9) as share
             from events where user_id % 7 <> 0 and user_id % 5 <> 0 group by 1""",
+        "stream_match_words": f"""with {DOCS}, {LONG_WORDS}, hits as (select distinct doc_id from docs, terms where contains(c, term))
+            select doc_id, cast(doc_id in (select doc_id from hits) as integer) as malware_flag,
+            cast({any_of('c', INFO_KEYWORDS)} as integer) as has_info_keywords from docs""",
         "stream_match": f"""with {DOCS}, {runs(4)}, hits as (select distinct doc_id from docs, terms where contains(c, term))
             select doc_id, cast(doc_id in (select doc_id from hits) as integer) as malware_flag,
             cast({any_of('c', INFO_KEYWORDS)} as integer) as has_info_keywords from docs""",

@@ -24,9 +24,9 @@ from lexvane.operators.split import stratified_split
 from lexvane.plans.detection import BASELINE, SECTIONS, compare_detectors, detection_features, run_detection, split_rows
 from lexvane.sources.reports import check_columns, check_rows, nested_mentions, read_csv, with_row_id
 from lexvane.sources.results import write_result
-from lexvane.sources.terms import load_or_build_terms
+from lexvane.sources.terms import load_or_build_terms, publish_terms
 from lexvane.storage import new_path, written
-from lexvane.streaming.scoring import text_flags, write_available
+from lexvane.streaming.scoring import match_batches, text_flags, write_available, write_matches
 from workload import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -360,6 +360,16 @@ def q_stream_match(spark, sf):
     return spark.read.parquet(out)
 
 
+def q_stream_match_words(spark, sf):
+    """All words of the dictionary against the stream, through the index."""
+    schema = T.table(spark, sf, "documents").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    dictionary, out, state = (new_path(spark, n) for n in ("dictionary-versions", "stream", "stream-state"))
+    publish_terms(T.benchmark_words(spark, sf), dictionary)
+    write_matches(stream, match_batches(dictionary, out, "doc_id", "text", INFO_KEYWORDS), state).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "malware_flag", "has_info_keywords")
+
+
 def queries() -> dict[str, Query]:
     found = {name[2:]: value for name, value in globals().items() if name.startswith("q_")}
     return found | {
