@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from lexvane.llm.url_filter import HYPHENATED, RULES
+
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
@@ -88,5 +90,22 @@ MERKLE = f"""with recursive {_CRC},
   from leaves l join subroots s on s.source = l.tree join ends using (doc_id) left join proofs using (doc_id), roots"""
 
 
+def _by_rule(answers: dict[str, str]) -> str:
+    """The answer of the longest rule that fits, else null."""
+    cases = []
+    for rule in sorted(answers, key=len, reverse=True):
+        name, slash, rest = rule.partition("/")
+        cases.append(f"when (host = '{name}' or ends_with(host, '.{name}')) and starts_with(path, '{slash}{rest}') then '{answers[rule]}'")
+    return "case " + " ".join(cases) + " end"
+
+
+URLS = f"""with split as (
+    select page_id, {folded("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} as host,
+      coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages)
+  select page_id, host, path, {_by_rule({r: r for r, _ in RULES})} as rule,
+    coalesce({_by_rule(dict(RULES))}, case when regexp_matches(host, '{HYPHENATED}') then 'block' else 'allow' end) as verdict
+  from split"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_search": SEARCH, "op13_merkle": MERKLE}
+    return {"op7_urls": URLS, "op12_search": SEARCH, "op13_merkle": MERKLE}

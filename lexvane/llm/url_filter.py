@@ -25,8 +25,8 @@ RULES = (
     ("example.com/de/", "block"),
     ("org/fr/", "allow"),
 )
-# Name parts of hosts that block lists of this kind hold.
-LISTED_NAMES = ("spam-farm", "cheap-pills", "casino-win", "adult-x", "free-bets", "ads-track")
+# A label of two or more words joined by single hyphens; encoded names (``xn--``) have two.
+HYPHENATED = r"(^|\.)[a-z0-9]+(-[a-z0-9]+)+(\.|\z)"
 
 SHARD_KEYS = 50_000  # keys of the universe per shard, a bound on what one task builds
 SEND_BYTES = 64 << 20  # cascades sent to the workers at once
@@ -55,9 +55,9 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def listed_host(host: Column, names=LISTED_NAMES) -> Column:
-    """Whether one of the labels of a host is a listed name."""
-    return F.arrays_overlap(F.split(host, r"\."), F.array(*[F.lit(n) for n in names]))
+def listed_host(host: Column) -> Column:
+    """Whether a host has a hyphenated label, a common mark of advertising hosts."""
+    return host.rlike(HYPHENATED)
 
 
 def _key_hash(key: Column) -> Column:
@@ -190,11 +190,12 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, limit: int = SE
     empty tables (an empty list blocks nothing).
     """
     split = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    hosts = split.select("host").distinct()
-    names = listed.select(F.coalesce("host", F.lit("")).alias("listed_host")).distinct()
-    marked = hosts.join(names, F.col("host") == F.col("listed_host"), "left").select(
-        F.col("host").alias("key"), F.col("listed_host").isNotNull().alias("listed")
-    )
+    no, yes = F.lit(False), F.lit(True)
+    keys = split.select(F.col("host").alias("key"), no.alias("listed"), yes.alias("seen")).distinct()
+    names = listed.select(F.coalesce("host", F.lit("")).alias("key"), yes.alias("listed"), no.alias("seen"))
+    # The universe are the hosts of the pages; what lists and pages say of a key meets in one group.
+    universe = keys.unionByName(names).groupBy("key").agg(F.max("listed").alias("listed"), F.max("seen").alias("seen"))
+    marked = universe.filter("seen").select("key", "listed")
     cascade = build_cascade(marked)
     judged = in_cascade(split.withColumn("key_hash", _key_hash(F.col("host"))), cascade, limit)
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
@@ -208,7 +209,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, limit: int = SE
     )
 
 
-def listed_hosts(pages: DataFrame, names=LISTED_NAMES) -> DataFrame:
-    """The hosts of these pages whose labels hold a listed name."""
+def listed_hosts(pages: DataFrame) -> DataFrame:
+    """A block list made from the pages where no other is given: their hosts with a hyphenated label."""
     hosts = pages.select(host_of(F.col("url")).alias("host")).distinct()
-    return hosts.filter(listed_host(F.col("host"), names))
+    return hosts.filter(listed_host(F.col("host")))

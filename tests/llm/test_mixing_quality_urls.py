@@ -184,6 +184,8 @@ URLS = [
     "http://b.org/fr", "http://borg/fr/x", "https://example.com/de/9#t", "https://cheap-pills.example.com/de/9",
     "https://www.cheap-pills.example.com/en/9", "https://spam-farm.org/fr/9", "a://b://c/d", "http://#", "http://h?a/b", None, "",
     "http://é.Ä/x\ny", "http://cheap-pillsx.example.com/en", "https://casino-win.example.org/x?q",
+    "https://xn--a-b.example.com/", "https://-a.example.com/", "https://a-.example.com/", "https://B-2-c/", "http://a-b\n/x",
+    "https://plain.example.com/" + "long-path/" * 20000,
 ]
 
 
@@ -198,7 +200,7 @@ def judged(url):
         name, _, rest = rule.partition("/")
         if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
             best = max(best or ("", ""), (rule, said), key=lambda r: len(r[0]))
-    listed = bool(set(host.split(".")) & set(url_filter.LISTED_NAMES))
+    listed = any(re.fullmatch(r"[a-z0-9]+(-[a-z0-9]+)+", label) for label in host.split("."))
     return host, path, best[0] if best else None, best[1] if best else ("block" if listed else "allow")
 
 
@@ -223,6 +225,29 @@ def test_cascade_is_exact_in_one_block_and_in_many(spark, monkeypatch):
     assert len(url_filter.blocks_of(cascade, 200)) > 3
 
 
+def test_listed_table_of_thousands_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "SHARD_KEYS", 500)
+    pages = spark.range(9000).selectExpr("id as page_id", "concat('https://h', id % 6000, '.test/p') as url")
+    pages = pages.unionByName(spark.createDataFrame([(9000, None), (9001, "")], "page_id long, url string"))
+    listed = spark.range(0, 12000, 2).selectExpr("concat('h', id, '.test') as host", "id as page_id")
+    listed = listed.unionByName(listed.limit(5)).unionByName(spark.createDataFrame([(None, None)], "host string, page_id long"))
+    sent = []
+    original = url_filter.blocks_of
+    monkeypatch.setattr(url_filter, "blocks_of", lambda *a: sent.append(original(*a)) or sent[-1])
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages, listed, limit=1500).collect()}
+    assert len(sent[0]) > 3 and len(got) == 9002
+    assert all(got[i] == ("block" if i % 6000 % 2 == 0 else "allow") for i in range(9000))
+    assert got[9000] == got[9001] == "block"  # the null name lists the empty host
+
+
+def test_an_empty_list_and_an_empty_table(spark):
+    pages = spark.createDataFrame([(1, "https://a-b.test/x"), (2, "https://x.net/")], "page_id long, url string")
+    nothing = spark.createDataFrame([], "host string")
+    assert {(r["page_id"], r["verdict"]) for r in url_filter.judge_urls(pages, nothing).collect()} == {(1, "allow"), (2, "block")}
+    empty = pages.limit(0)
+    assert url_filter.judge_urls(empty, url_filter.listed_hosts(empty)).count() == 0
+
+
 def test_levels_end_for_any_sets():
     r = np.random.default_rng(0)
     keys = r.choice(1 << 62, 5000, replace=False)
