@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from lexvane.functions.aliases import alias_terms
 from lexvane.functions.text import clean_text, normalize_name, strip
 from lexvane.operators.entities import malware_spans, unpivot_entities
+from lexvane.storage import written
 
-# Numbers of first characters that terms are filed under.
+# Lengths of the runs that terms are filed under.
 HEADS = (1, 2, 4, 8, 16, 32)
 
 
@@ -99,25 +100,19 @@ def terms_as_text(terms: DataFrame) -> DataFrame:
     return cleaned.filter(F.col("term") != "").distinct()
 
 
-def minimal_terms(terms: DataFrame, on_clean_text: bool = True, whole_word: bool = False) -> DataFrame:
-    """A smaller dictionary that flags the same texts.
+def _holding_candidates(kept: DataFrame) -> DataFrame:
+    """``(term, part)``: pairs in which a term may hold another one, ``part``.
 
-    Leaves out terms that can never occur in cleaned text, and terms holding
-    another term: whatever they hit, the shorter one hits too. A term is filed
-    under its first characters, as many of them as a power of two allows, and
-    looked up by the runs of as many characters in the others. So the work
-    grows with the length of a term, at any length.
+    A run of as many characters as a power of two allows is taken from every
+    part, the one that the fewest terms have; terms meet it by their own runs.
+    So neither common beginnings nor other common pieces gather many terms.
     """
-    kept = usable_terms(terms)
-    if on_clean_text:
-        kept = kept.filter(F.col("term") == clean_text(F.col("term")))
     size = F.lit(HEADS[0])
     for n in HEADS[1:]:
         size = F.when(F.length("term") >= n, n).otherwise(size)
-    filed = kept.select(F.col("term").alias("part"), size.alias("n"), F.left("term", size).alias("run"))
-    sizes = [r[0] for r in filed.select("n").distinct().collect()]  # at most as many as HEADS
+    sizes = [r[0] for r in kept.select(size.alias("n")).distinct().collect()]  # at most as many as HEADS
     if not sizes:
-        return kept
+        return kept.select("term", F.col("term").alias("part"))
     lengths = kept.select("term", F.explode(F.array(*map(F.lit, sorted(sizes)))).alias("n"))
     places = F.sequence(F.lit(1), F.length("term") - F.col("n") + 1)
     runs = (
@@ -126,6 +121,24 @@ def minimal_terms(terms: DataFrame, on_clean_text: bool = True, whole_word: bool
         .select("term", "n", F.substring(F.col("term"), F.col("i"), F.col("n")).alias("run"))
         .distinct()
     )
+    runs = written(runs, "runs")
+    occurs = runs.groupBy("n", "run").agg(F.count(F.lit(1)).alias("occurs"))
+    own = runs.filter(F.col("n") == size).join(occurs, ["n", "run"])
+    rarest = own.groupBy(F.col("term").alias("part")).agg(F.min_by(F.struct("n", "run"), F.struct("occurs", "run")).alias("r"))
+    filed = rarest.select("part", "r.n", "r.run")
+    return runs.join(filed, ["n", "run"]).filter(F.col("term") != F.col("part")).select("term", "part")
+
+
+def minimal_terms(terms: DataFrame, on_clean_text: bool = True, whole_word: bool = False) -> DataFrame:
+    """A smaller dictionary that flags the same texts.
+
+    Leaves out terms that can never occur in cleaned text, and terms holding
+    another term: whatever they hit, the shorter one hits too. The work grows
+    with the lengths of the terms, also where many begin alike.
+    """
+    kept = usable_terms(terms)
+    if on_clean_text:
+        kept = kept.filter(F.col("term") == clean_text(F.col("term")))
     held = [F.concat(F.lit(" "), F.col(c), F.lit(" ")) if whole_word else F.col(c) for c in ("term", "part")]
-    holding = runs.join(filed, ["n", "run"]).filter((F.col("term") != F.col("part")) & F.contains(*held))
+    holding = _holding_candidates(kept).filter((F.col("term") != F.col("part")) & F.contains(*held))
     return kept.join(holding.select("term").distinct(), "term", "left_anti")
