@@ -2,37 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import pandas as pd
+import numpy as np
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 Recognizer = Callable[[str], Iterable[str]]
 
 
 def recognizer_flag(
-    text: Column, load: Callable[[], Recognizer], types: tuple[str, ...]
+    text: Column, load: Callable[[], Recognizer], types: tuple[str, ...], batch_size: int = 256
 ) -> Column:
     """1 where the recognizer finds an entity of a wanted type, else 0.
 
-    ``load`` builds the recognizer once per task; texts arrive in Arrow
-    batches. A text the recognizer fails on counts as 0.
+    ``load`` builds the recognizer once per worker process, which keeps it for
+    its later tasks; texts arrive in Arrow batches of up to ``batch_size``. A
+    null or empty text, or one the recognizer fails on, counts as 0; the other
+    texts of its batch keep their answers.
     """
     wanted = frozenset(types)
 
-    def one(recognize: Recognizer, value: str | None) -> int:
-        if not value:
-            return 0
-        try:
-            return int(not wanted.isdisjoint(recognize(value)))
-        except Exception:
-            return 0
-
-    @F.pandas_udf("int")
-    def flag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make_predict() -> Callable[[np.ndarray], np.ndarray]:
         recognize = load()
-        for batch in batches:
-            yield batch.map(lambda value: one(recognize, value)).astype("int32")
 
-    return flag(text)
+        def one(value: object) -> int:
+            if not isinstance(value, str) or not value:
+                return 0
+            try:
+                return int(not wanted.isdisjoint(recognize(value)))
+            except Exception:
+                return 0
+
+        return lambda texts: np.array([one(value) for value in texts], np.int32)
+
+    return predict_batch_udf(make_predict, return_type=IntegerType(), batch_size=batch_size)(text)
