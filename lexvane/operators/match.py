@@ -43,6 +43,8 @@ BROADCAST_TERMS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ANCHOR_LENGTH = 4
 STRETCH = 12
+# Words on either side that go along with a word; terms reaching further are met by joins.
+REACH = 8
 # Occurrences of a word that one task takes in the shuffled plan.
 TASK_ROWS = 1_000_000
 
@@ -93,6 +95,13 @@ class TermSet:
             return F.split(fill_text(F.col(self.text_col)), NON_WORD, -1)
         return F.array_remove(F.split(F.lower(fill_text(F.col(self.text_col))), NON_WORD, -1), "")
 
+    def gaps(self) -> Column:
+        """What is before the first word of a raw text, between its words and after the last; none if clean."""
+        if self.clean:
+            return F.array().cast("array<string>")
+        end = F.array(F.lit(" " if self.whole_word else ""))
+        return F.concat(end, F.regexp_extract_all(fill_text(F.col(self.text_col)), F.lit(NON_WORD), F.lit(0)), end)
+
 
 def _holds(text: Column, term: Column, whole_word: bool) -> Column:
     if not whole_word:
@@ -173,13 +182,24 @@ _KINDS = [("=", 0), *((m, n) for m in ("<", ">", "") for n in range(1, ANCHOR_LE
 
 @dataclass(frozen=True)
 class _Index:
-    """Filed terms of one set, written; what there is of each kind; terms and their bytes."""
+    """Filed terms of one set, written; what there is of each kind; terms and their bytes.
+
+    ``reach`` is how many words phrases go to either side of their anchor, up
+    to REACH; ``far`` is the number of terms that go further.
+    """
 
     rows: DataFrame
     kinds: dict[tuple[str, int], int]
     count: int
     size: int
     bare: tuple[int, int]
+    reach: int = 0
+    far: int = 0
+
+
+def _reach() -> Column:
+    """How many words a filed term goes to either side of its anchored one."""
+    return F.when(F.col("anchor").isNull(), 0).otherwise(F.greatest(F.col("at"), F.col("size") - 1 - F.col("at")))
 
 
 def _measured(filed: DataFrame, name: str) -> _Index:
@@ -191,11 +211,13 @@ def _measured(filed: DataFrame, name: str) -> _Index:
         measures[f"k{i}"] = F.count_if((mark == m) & (chars == n))
     bare = F.col("anchor").isNull()
     measures |= {"n": F.count(F.lit(1)), "b": F.sum(F.octet_length("term"))}
+    near = _reach() <= REACH
+    measures |= {"reach": F.max(F.when(near, _reach())), "far": F.count_if(~near)}
     measures |= {"bare": F.count_if(bare), "bare_b": F.sum(F.when(bare, F.octet_length("term")))}
     rows = written(filed.observe(seen, *(c.alias(k) for k, c in measures.items())), "index")
     got = {k: v or 0 for k, v in seen.get.items()}
     kinds = {kind: got[f"k{i}"] for i, kind in enumerate(_KINDS) if got[f"k{i}"]}
-    return _Index(rows, kinds, got["n"], got["b"], (got["bare"], got["bare_b"]))
+    return _Index(rows, kinds, got["n"], got["b"], (got["bare"], got["bare_b"]), got["reach"], got["far"])
 
 
 def _keys(kinds: Sequence[tuple[str, int]]) -> Column:
@@ -235,20 +257,39 @@ def _with_keys(words: DataFrame, kinds: Sequence[tuple[str, int]]) -> DataFrame:
     return cut.withColumn("_key", F.explode(keys)).drop("_start", "_stretch").filter(F.col("_key").isNotNull())
 
 
-def _window_hit(one: TermSet) -> Column:
-    """Whether the joined index row's term is there, seen from word number ``_p`` (from 1) of ``_w``."""
-    term, place = F.col("term"), F.col("_p") - F.col("at")
-    before = F.coalesce(F.get("_w", F.col("_p") - 2), F.lit(""))
-    after = F.coalesce(F.get("_w", F.col("_p")), F.lit(""))
+def _window_hit(one: TermSet, reach: int) -> Column:
+    """Whether the joined index row's term is there, seen from ``_word`` and the words and gaps beside it."""
+    term = F.col("term")
+    before, after = (F.coalesce(F.col(c), F.lit("")) if reach else F.lit("") for c in (_beside("w", -1), _beside("w", 1)))
     near = F.endswith(before, F.col("before")) & F.startswith(after, F.col("after"))
+    around = [F.col(_beside("w", d)) for d in range(-reach, reach + 1)]
     if one.clean:  # words and single blanks are all there is
-        window = F.array_join(F.slice("_w", place, F.col("size")), " ")
-        phrase = F.when((place >= 1) & near, _holds(window, term, one.whole_word))
+        window = F.array_join(F.slice(F.array(*around), reach + 1 - F.col("at"), F.col("size")), " ")
         single = _holds(F.col("_word"), term, one.whole_word)
-    else:  # the neighbours decide first: comparing whole texts is the dear part
-        phrase = F.when(near, _holds(one.text(), term, one.whole_word))
-        single = phrase if one.whole_word else F.contains("_word", term)
-    return F.coalesce(F.when(F.col("one_word"), single).otherwise(phrase), F.lit(False))
+    else:
+        gaps = [F.col(_beside("g", d)) for d in range(-reach, reach + 1)]
+        every = F.array(F.col(_beside("g", -reach - 1)), *(c for pair in zip(around, gaps) for c in pair))
+        window = F.array_join(F.slice(every, 2 * (reach - F.col("at")) + 1, 2 * F.col("size") + 1), "")
+        single = F.contains("_word", term)
+    if one.clean:
+        held = _holds(window, term, one.whole_word)
+    else:  # the gaps are part of the window, also the blanks around whole words
+        held = F.contains(window, F.concat(F.lit(" "), term, F.lit(" ")) if one.whole_word else term)
+    phrase = F.when(near, held)
+    lone = F.col("one_word") & F.lit(one.clean or not one.whole_word)
+    return F.coalesce(F.when(lone, single).otherwise(phrase), F.lit(False))
+
+
+def _beside(kind: str, d: int) -> str:
+    """Column of the word (``w``) or of the gap after it (``g``) that is ``d`` words on."""
+    return "_word" if kind == "w" and d == 0 else f"_{kind}{'b' if d < 0 else 'a'}{abs(d)}"
+
+
+def _shifted(items: Column, d: int) -> Column:
+    """The array with each item ``d`` places earlier (later, if negative), not longer than before."""
+    if d >= 0:
+        return F.slice(items, d + 1, F.size(items)) if d else items
+    return F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), -d), items), F.lit(1), F.size(items))
 
 
 def _weak(mark: str, n: int) -> bool:
@@ -278,20 +319,32 @@ def _scanned(rows: DataFrame, one: TermSet, index: _Index, out: str) -> tuple[Da
     flag = reduce(lambda a, b: F.greatest(a, b), map(F.col, flags)) if flags else F.lit(0)
     rows = rows.withColumn(out, flag).drop("_scan_text", *flags)
     kept = {k: v for k, v in index.kinds.items() if not (few and _weak(*k))}
-    left = index.rows.filter(F.col("anchor").isNotNull() & ~(F.lit(few) & F.col("weak")))
-    return rows, _Index(left, kept, index.count, index.size, (0, 0))
+    left = index.rows.filter(F.col("anchor").isNotNull() & (_reach() <= REACH) & ~(F.lit(few) & F.col("weak")))
+    return rows, _Index(left, kept, index.count, index.size, (0, 0), index.reach)
 
 
 def _looked_up(rows: DataFrame, sets: list[TermSet], indexes: list[_Index], keep: list[str], carry: dict[str, Column]) -> DataFrame:
     """All sets' flags of every row, in one pass over the texts.
 
-    ``rows`` has a key ``_row`` and a column ``_scan{i}`` for each set. An empty
-    word in front of every text finds a mark in the index, so that rows without
-    a hit are kept, and ``carry`` is computed there, once for each row.
+    ``rows`` has a key ``_row`` and a column ``_scan{i}`` for each set. ``carry``
+    is computed before texts are split, and a word takes along the few words
+    and gaps beside it that the phrases reach, never its whole text: a text of
+    many words would be copied once for each of them. An empty word in front of
+    every text finds a mark in the index, so that rows without a hit are kept.
     """
-    texts = F.array(*(F.struct(F.lit(i).alias("_set"), s.words().alias("_w")) for i, s in enumerate(sets)))
-    lists = rows.select("*", F.inline(texts)) if len(sets) > 1 else rows.withColumn("_w", sets[0].words()).withColumn("_set", F.lit(0))
-    words = lists.select("*", F.posexplode(F.concat(F.array(F.lit("")), F.col("_w"))).alias("_p", "_word"))
+    reach = max(index.reach for index in indexes)
+    raw = any(not s.clean for s in sets)
+    texts = F.array(*(F.struct(F.lit(i).alias("_set"), s.words().alias("_w"), s.gaps().alias("_g")) for i, s in enumerate(sets)))
+    numbers = ["_row", *keep, *(f"_scan{i}" for i in range(len(sets))), *carry]
+    known = [c.alias(k) for k, c in carry.items()]
+    lists = rows.select(*(c for c in numbers if c not in carry), *known, texts.alias("_texts")).select(*numbers, F.inline("_texts"))
+    lists = lists.withColumn("_w", F.concat(F.array(F.lit("")), F.col("_w")))
+    shifts = {_beside("w", d): _shifted(F.col("_w"), d) for d in range(-reach, reach + 1)}
+    if raw:
+        shifts |= {_beside("g", d): _shifted(F.col("_g"), d) for d in range(-reach - 1, reach + 1)}
+    zipped = F.arrays_zip(*(c.alias(k) for k, c in shifts.items()))
+    words = lists.select(*numbers, "_set", F.posexplode(zipped).alias("_p", "_z"))
+    words = words.select(*numbers, "_set", "_p", *(F.col("_z")[k].alias(k) for k in shifts))
     kinds = list(dict.fromkeys(k for index in indexes for k in index.kinds))
     first = F.col("_p") == 0
     keyed = _with_keys(words, [("=", 0), *(k for k in kinds if k != ("=", 0))])
@@ -302,13 +355,13 @@ def _looked_up(rows: DataFrame, sets: list[TermSet], indexes: list[_Index], keep
     filed = [index.rows.select(*shape, F.lit(i).alias("_of")) for i, index in enumerate(indexes)]
     index = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*filed, marks])
     met = keyed.join(F.broadcast(index), (F.col("_key") == F.col("anchor")) & (F.col("_set") == F.col("_of")))
-    met = met.filter(F.col("term").isNotNull() | first)
-    head = first & (F.col("_set") == 0) & F.col("term").isNull()
+    found = reduce(lambda x, y: x | y, ((F.col("_set") == i) & _window_hit(s, reach) for i, s in enumerate(sets)))
+    met = met.filter(F.when(F.col("term").isNull(), first).otherwise(found))
     hits = []
     for i, s in enumerate(sets):
-        hit = F.when((F.col("_set") == i) & F.col("term").isNotNull(), _window_hit(s).cast("int"))
-        hits.append(F.greatest(F.max(F.coalesce(hit, F.lit(0))), F.max(f"_scan{i}")).alias(s.flag))
-    kept = [F.first(c).alias(c) for c in keep] + [F.max(F.when(head, c)).alias(k) for k, c in carry.items()]
+        hit = ((F.col("_set") == i) & F.col("term").isNotNull()).cast("int")
+        hits.append(F.greatest(F.max(hit), F.max(f"_scan{i}")).alias(s.flag))
+    kept = [F.first(c).alias(c) for c in [*keep, *carry]]
     return met.groupBy("_row").agg(*kept, *hits).drop("_row")
 
 
@@ -362,11 +415,10 @@ def _shuffled_rows(rows: DataFrame, one: TermSet, terms: DataFrame) -> DataFrame
         parts.append(dealt.join(_salted(alone), ["_word", "_salt"], "left_semi").select("_row"))
         phrases = found.filter(~single).drop("n", "one_word")
         wanted = found.filter(~single).select("_word", "n").distinct()
-        places = split.select("_row", "_w", F.posexplode("_w").alias("_p", "_word")).withColumn("_p", F.col("_p") + 1)
-        # Words without an anchor are left out before windows are made of them.
-        places = places.join(wanted.select("_word"), "_word", "left_semi")
-        near = {"_prev": F.coalesce(F.get("_w", F.col("_p") - 2), F.lit("")), "_next": F.coalesce(F.get("_w", F.col("_p")), F.lit(""))}
-        windows = places.select("_row", "_word", *(c.alias(k) for k, c in near.items()))
+        # A word takes its neighbours along, not its text; words without an anchor are left out.
+        near = {"_word": 0, "_prev": -1, "_next": 1}
+        places = split.select("_row", F.inline(F.arrays_zip(*(_shifted(F.col("_w"), d).alias(k) for k, d in near.items()))))
+        windows = places.fillna("", ["_prev", "_next"]).join(wanted.select("_word"), "_word", "left_semi")
         asked = phrases.join(_salted(wanted), "_word")
         close = _dealt(windows, wanted).join(asked, ["_word", "_salt"])
         close = close.filter(F.endswith("_prev", F.col("before")) & F.startswith("_next", F.col("after")))
@@ -423,15 +475,18 @@ def flag_sets(
             rows = flag_in_place(rows, index.rows, "_scan_text", one.flag, one.whole_word).drop("_scan_text")
         return rows.select(*keep, *carry, *(s.flag for s in sets))
     large = [i for i, p in enumerate(plans) if p == "shuffled"]
+    # Terms of the index that are longer than what goes along with a word are met by joins.
+    far = [i for i, p in enumerate(plans) if p == "indexed" and indexes[i].far]
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    if large:  # the texts are joined with what is found in them: row numbers have to stay
+    if large or far:  # the texts are joined with what is found in them: row numbers have to stay
         texts = dict.fromkeys(s.text_col for s in sets if s.text_col not in keep)
         rows = written(rows.select("_row", *keep, *texts, *(c.alias(k) for k, c in carry.items())), "rows")
         keep, carry = [*keep, *carry], {}
-        for i in large:
-            hits = _shuffled_rows(rows, sets[i], indexes[i].rows.select("term"))
+        for i in sorted([*large, *far]):
+            terms = indexes[i].rows.filter(_reach() > REACH) if i in far else indexes[i].rows
+            hits = _shuffled_rows(rows, sets[i], terms.select("term"))
             hits = hits.select(F.col("_row").alias("_of"), F.lit(1).alias("_hit"))
-            flag = F.coalesce(F.col("_hit"), F.lit(0)).alias(sets[i].flag)
+            flag = F.coalesce(F.col("_hit"), F.lit(0)).alias(f"_far{i}" if i in far else sets[i].flag)
             rows = rows.join(hits, F.col("_row") == F.col("_of"), "left").select(*rows.columns, flag)
     known = [sets[i].flag for i in large]
     small = [i for i in range(len(sets)) if i not in large]
@@ -441,6 +496,8 @@ def flag_sets(
     asked, left = [], []
     for i in small:
         rows, index = _scanned(rows, sets[i], indexes[i], "_scan")
+        if i in far:
+            rows = rows.withColumn("_scan", F.greatest("_scan", f"_far{i}")).drop(f"_far{i}")
         name = f"_scan{len(asked)}" if index.kinds else sets[i].flag
         rows = rows.withColumnRenamed("_scan", name)
         if index.kinds:
