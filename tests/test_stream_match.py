@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from lexvane.operators.match import TermSet, dictionary_flag, file_sets, flag_sets
 from lexvane.sources.terms import newest_version, publish_terms, version_terms
-from lexvane.streaming.scoring import match_batches, write_matches
+from lexvane.streaming.scoring import match_batches, write_available, write_matches
+from workload import tables as T
 
 WORDS = [f"term{i:04d}x" for i in range(300)] + ["two words", "ab"]
 
@@ -71,3 +72,13 @@ def test_failed_batch_is_replayed_once_by_the_newest_version(spark, texts, tmp_p
     assert {tuple(r) for r in got.select("batch", "dictionary_version").distinct().collect()} == {(0, 1), (1, 2)}
     # Only the long text without an id holds the word of the second version.
     assert all(r["id"] is None for r in got.filter("batch = 1 and malware_flag = 1").collect())
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_table_of_several_files_is_streamed(spark, texts, tmp_path, files):
+    """A table may be a folder of files; a stream of it used to find none of them."""
+    named = texts.withColumnRenamed("id", "doc_id")
+    named.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    stream, out = T.stream(spark, str(tmp_path), "documents"), str(tmp_path / "out")
+    write_available(stream, out, out + "-state").awaitTermination()
+    assert counted(spark.read.parquet(out)) == counted(named)

@@ -352,8 +352,7 @@ def q_logistic_fit(spark, sf):
 
 
 def q_stream_match(spark, sf):
-    schema = T.table(spark, sf, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    stream = T.stream(spark, sf, "documents")
     terms = written(D.minimal_terms(T.benchmark_terms(spark, sf)), "terms")
     out, state = new_path(spark, "stream"), new_path(spark, "stream-state")
     write_available(text_flags(stream, terms, "doc_id", "text", INFO_KEYWORDS), out, state).awaitTermination()
@@ -362,8 +361,7 @@ def q_stream_match(spark, sf):
 
 def q_stream_match_words(spark, sf):
     """All words of the dictionary against the stream, through the index."""
-    schema = T.table(spark, sf, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    stream = T.stream(spark, sf, "documents")
     dictionary, out, state = (new_path(spark, n) for n in ("dictionary-versions", "stream", "stream-state"))
     publish_terms(T.benchmark_words(spark, sf), dictionary)
     write_matches(stream, match_batches(dictionary, out, "doc_id", "text", INFO_KEYWORDS), state).awaitTermination()

@@ -13,6 +13,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The table as a stream of its files; it may be one file or a folder of files.
+
+    The path is a pattern that fits the table alone, since a stream takes a
+    plain path for a folder.
+    """
+    schema = table(spark, sf, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf}/[{name[0]}]{name[1:]}.parquet")
+
+
 def documents(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     """Documents, spread over the cores where the file is a single piece."""
     return spread(table(spark, sf, "documents").select(*(cols or ("doc_id", "text"))))
