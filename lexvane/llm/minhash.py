@@ -24,6 +24,9 @@ from lexvane.storage import written
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5  # at similarity 0.8 a pair is missed with probability 7e-5
+# Buckets of more members than PAIRED are compared in blocks of about BLOCK shingles;
+# a member counts as LIGHTEST shingles at least, which bounds the members of a block.
+PAIRED, BLOCK, LIGHTEST = 8, 1 << 18, 256
 _GAP = 0xA24BAED4963EE407
 _COORDINATE = np.uint64(0x9FB21C651E98DF25)
 
@@ -178,7 +181,8 @@ def near_duplicates(
     one hub at a time: first the smallest id, then the member with most links,
     which ties a group of near copies together without all its pairs. Only
     members of buckets that then still hold different classes are compared with
-    each other, so no link between classes found in a bucket is left out.
+    each other, block by block where there are many, so no link between classes
+    found in a bucket is left out.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id is not null")
     signed = written(_signed_rows(ids, n, bands, rows), "signatures")
@@ -227,7 +231,7 @@ def _joined(member: DataFrame, shingles: DataFrame, links: DataFrame, least: flo
         tried = tried.select(F.col("id").alias("a"), F.col("hub").alias("b"), "class", "hub_class").distinct()
         more = written(_verified(tried, shingles, least), "near")
         if more.isEmpty():
-            return every.unionByName(written(_verified(_across(open_), shingles, least), "near"))
+            return every.unionByName(written(_rest(open_, shingles, least), "near"))
         pairs = more.select(F.col("class").alias("a"), F.col("hub_class").alias("b")).distinct()
         merged = components(pairs)
         every = every.unionByName(pairs)
@@ -243,6 +247,108 @@ def _open_buckets(named: DataFrame) -> DataFrame:
     return written(named.join(several.select("cell"), "cell", "left_semi"), "open")
 
 
+def _rest(open_: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b)`` that join all classes with a link between members of one bucket.
+
+    Small buckets are compared pair by pair. A large one would make pairs with
+    the square of its members, so its members are dealt into blocks, and two
+    blocks at a time are compared inside a task, which gives no more links than
+    it has classes. The members of a bucket's largest class need no comparison
+    with one another and have blocks of their own.
+    """
+    members = open_.groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
+    many = members.filter(F.col("members") > PAIRED).select(F.col("cell").alias("many"))
+    few = open_.join(many, F.col("cell") == F.col("many"), "left_anti")
+    large = open_.join(many, F.col("cell") == F.col("many"), "left_semi")
+    return _verified(_across(few), shingles, least).unionByName(_linked_blocks(large, shingles, least))
+
+
+def _linked_blocks(large: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b)`` between classes, found by comparing blocks of members."""
+    sizes = shingles.select(F.col("id").alias("sized"), F.greatest(F.size("shingles"), F.lit(LIGHTEST)).alias("size"))
+    member = large.join(sizes, F.col("id") == F.col("sized")).select("id", "cell", "class", "size")
+    by_class = member.groupBy("cell", "class").agg(F.sum("size").alias("size"))
+    cells = by_class.groupBy(F.col("cell").alias("of")).agg(
+        F.max(F.struct("size", "class")).alias("core"), F.sum("size").alias("all")
+    )
+    blocks = [F.ceil(s / F.lit(BLOCK)).cast("int") for s in (F.col("core.size"), F.col("all") - F.col("core.size"))]
+    cells = cells.select("of", F.col("core.class").alias("core"), blocks[0].alias("cores"), blocks[1].alias("rests"))
+    dealt = member.join(cells, F.col("cell") == F.col("of")).withColumn("is_core", F.col("class") == F.col("core"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("is_core"), F.col("cores")).otherwise(F.col("rests"))).cast("int")
+    dealt = dealt.withColumn("block", own)
+    # Every block of other classes meets each of the core and each of the others; (i, -1 - j): block j of the core.
+    rests, cores = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("rests", "cores"))
+    others = F.filter(rests, lambda x: x != F.col("block"))
+    met = [
+        F.transform(others, lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))),
+        F.transform(cores, lambda x: F.struct(F.col("block").alias("i"), (-1 - x).alias("j"))),
+    ]
+    with_rests = F.transform(rests, lambda x: F.struct(x.alias("i"), (-1 - F.col("block")).alias("j")))
+    tasks = F.when(F.col("is_core"), with_rests).otherwise(F.concat(*met))
+    dealt = dealt.select("id", "class", "cell", F.inline(tasks))
+    filled = dealt.join(shingles.withColumnRenamed("id", "id2"), F.col("id") == F.col("id2"))
+    filled = filled.select("cell", "i", "j", "class", "shingles")
+
+    def links(table: pa.Table) -> pa.Table:
+        lists = table.column("shingles").combine_chunks()
+        classes, at = np.unique(table.column("class").to_numpy(), return_inverse=True)
+        bounds = lists.offsets.to_numpy()
+        sets = lists.values.to_numpy()[bounds[0] : bounds[-1]]
+        a, b = linked(sets, np.diff(bounds), at, least)
+        end = joined(a, b, len(classes))
+        moved = np.flatnonzero(end != np.arange(len(classes)))
+        return pa.table({"a": classes[moved], "b": classes[end[moved]]})
+
+    return filled.groupBy("cell", "i", "j").applyInArrow(links, "a long, b long").distinct()
+
+
+def linked(sets: np.ndarray, sizes: np.ndarray, group: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of groups between whose sets there is a weighted Jaccard similarity of ``least`` or more.
+
+    ``sets`` holds all sets one after the other. Elements of one set only are
+    left out; what the others share is summed as products of 0/1 matrices, some
+    elements at a time.
+    """
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)
+    _, element, times = np.unique(sets, return_inverse=True, return_counts=True)
+    held = times[element] > 1
+    owner, element = owner[held], element[held]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], np.unique(element[order], return_inverse=True)[1]
+    shared = np.zeros((n, n), np.float32)
+    rare = np.bincount(element, minlength=1)[element] == 2 if len(element) else np.zeros(0, bool)
+    pair = owner[rare].reshape(-1, 2)  # elements of two sets, without a matrix
+    np.add.at(shared, (pair[:, 0], pair[:, 1]), 1)
+    np.add.at(shared, (pair[:, 1], pair[:, 0]), 1)
+    owner, element = owner[~rare], element[~rare]
+    element = np.unique(element, return_inverse=True)[1]
+    width = 2048
+    edges = np.searchsorted(element, np.arange(0, (element[-1] if len(element) else -1) + 1 + width, width))
+    for start, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
+        part = np.zeros((n, width), np.float32)
+        part[owner[x:y], element[x:y] - start * width] = 1
+        shared += part @ part.T
+    total = sizes[:, None] + sizes[None, :] - shared.astype(np.float64)
+    close = (shared >= least * total) & (group[:, None] < group[None, :])
+    i, j = np.nonzero(close)
+    return group[i], group[j]
+
+
+def joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest number that each of ``n`` is joined with by links ``(a, b)``."""
+    end = np.arange(n)
+    while True:
+        low = np.minimum(end[a], end[b])
+        new = end.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == end).all():
+            return end
+        end = new
+
+
 def _across(open_: DataFrame) -> DataFrame:
     """The pairs of a bucket whose classes differ."""
     other = open_.select(F.col("id").alias("b"), F.col("cell").alias("cell2"), F.col("class").alias("class2"))
