@@ -1,9 +1,10 @@
 """Merkle manifest of a dataset: a tree of digests for each source, and one over the sources.
 
 Nodes of a level are numbered inside their tree. A level is joined with itself
-once for each slot of a run but the first: the node of slot ``k`` goes to the
-node ``k`` places before it, by the computed index. So the rows of slot zero
-gather their run, and each of them emits a parent. Going down again, every node
+by shifts of 1, 2, 4, ... places: a node takes what the node so many places on
+has gathered, by the computed index, and half of the nodes are left. So the rows
+of slot zero gather their run, and each of them emits a parent. Each shift is
+written down, so a level costs few joins and one of them at a time. Going down again, every node
 gets its own siblings in front of the path of its parent. Paths are made for
 runs, not for leaves; a leaf meets its run's path in the last step.
 """
@@ -61,19 +62,22 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
 
 def _runs(nodes: DataFrame, arity: int) -> DataFrame:
     """``tree, idx, n, digests, digest``: the parents of nodes, with their runs from left to right."""
-    slot = F.col("idx") % arity
-    runs = nodes.filter(slot == 0).select("tree", "idx", "n", F.col("digest").alias("d0"))
-    for k in range(1, arity):
-        sibling = nodes.filter(slot == k).select(
-            F.col("tree").alias("of"), (F.col("idx") - k).alias("at"), F.col("digest").alias(f"d{k}")
+    runs, slot, step = nodes.select("tree", "idx", "n", F.array("digest").alias("digests")), F.col("idx") % arity, 1
+    while step < arity:
+        sibling = runs.filter(slot % (2 * step) == step).select(
+            F.col("tree").alias("of"), (F.col("idx") - step).alias("at"), F.col("digests").alias("next")
         )
-        runs = runs.join(sibling, (F.col("tree") == F.col("of")) & (F.col("idx") == F.col("at")), "left").drop("of", "at")
-    digests = F.filter(F.array(*(f"d{k}" for k in range(arity))), lambda d: d.isNotNull())
+        runs = runs.filter(slot % (2 * step) == 0)
+        runs = runs.join(sibling, (F.col("tree") == F.col("of")) & (F.col("idx") == F.col("at")), "left")
+        both = F.concat("digests", F.coalesce("next", F.array().cast("array<string>")))
+        runs, step = runs.select("tree", "idx", "n", both.alias("digests")), 2 * step
+        if step < arity:
+            runs = written(runs, "shifted")
     gathered = runs.select(
         "tree",
         F.expr(f"idx div {arity}").alias("idx"),
         F.expr(f"(n + {arity - 1}) div {arity}").alias("n"),
-        digests.alias("digests"),
+        "digests",
     )
     return gathered.withColumn("digest", F.sha2(F.concat_ws("", "digests"), 256))
 

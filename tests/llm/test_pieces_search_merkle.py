@@ -234,3 +234,17 @@ def test_one_row_and_none(docs, empty):
     one = merkle.verify(docs.filter("doc_id = 300")).first()
     assert one["leaf"] == one["subroot"] == one["root"] == one["folded_root"] and one["proof"] == ""
     assert merkle.verify(empty).collect() == []
+
+
+@pytest.mark.parametrize("arity", [2, 3, 16])
+def test_a_level_is_joined_once_for_each_doubling(spark, arity):
+    """A level was joined with itself once for each slot, fifteen times at once, all sent through the driver."""
+    rows = [("a", i, n, f"{n}-{i}") for n in (40,) for i in range(n)] + [("b", i, 3, f"b{i}") for i in range(3)]
+    nodes = spark.createDataFrame(rows, "tree string, idx long, n long, digest string")
+    runs = merkle._runs(nodes, arity)
+    assert runs._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    got = {(r["tree"], r["idx"]): (r["n"], list(r["digests"])) for r in runs.collect()}
+    want = {}
+    for tree, i, n, d in rows:
+        want.setdefault((tree, i // arity), (-(-n // arity), []))[1].append(d)
+    assert got == want
