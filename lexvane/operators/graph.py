@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Edges that one task groups.
+TASK_EDGES = 1_000_000
+
 
 def total_edges(relations: Column) -> Column:
     """Number of relations; repeats, reversals and self-loops all count."""
@@ -48,18 +51,28 @@ def edge_counts(edges: DataFrame, id_col: str) -> DataFrame:
     return edges.groupBy(id_col).agg(F.count(F.lit(1)).cast("int").alias("graph_total_edges"))
 
 
-def node_degrees(edges: DataFrame, id_col: str) -> DataFrame:
+def _tasks(edges: DataFrame) -> int:
+    return max(edges.count() // TASK_EDGES + 1, edges.sparkSession.sparkContext.defaultParallelism)
+
+
+def node_degrees(edges: DataFrame, id_col: str, tasks: int | None = None) -> DataFrame:
     """``(id_col, node, degree)`` of the simple undirected graph of every record.
 
     Repeats and reversals collapse in the first grouping, which spreads a large
-    record over all its edges; both groupings combine before they shuffle.
+    record over all its edges. Hardly any rows of a table without repeats
+    collapse before they are dealt, so rows are dealt first, to as many tasks as
+    the number of edges (or ``tasks``) asks for: what a task holds does not grow
+    with the table. The result is in twice as many parts by record and node.
     """
+    tasks = tasks or _tasks(edges)
     simple = edges.select(
         id_col,
         F.least("from_id", "to_id").alias("_a"),
         F.greatest("from_id", "to_id").alias("_b"),
-    ).distinct()
+    )
+    simple = simple.repartition(tasks, id_col, "_a", "_b").distinct()
     ends = simple.select(id_col, F.explode(F.array("_a", "_b")).alias("node"))
+    ends = ends.repartition(2 * tasks, id_col, "node")
     return ends.groupBy(id_col, "node").agg(F.count(F.lit(1)).cast("int").alias("degree"))
 
 
@@ -75,11 +88,13 @@ def graph_features_of_edges(
     """``(id_col, graph_max_malware_degree, graph_total_edges)`` for every record.
 
     ``labelled(id_col, node)`` holds the malware nodes. Every join is on a key
-    that is unique on both sides, so no group of rows multiplies.
+    that is unique on both sides, so no group of rows multiplies. Malware nodes
+    are dealt like the degrees, which then stay where they are.
     """
-    wanted = labelled.select(id_col, "node").distinct()
+    tasks = _tasks(edges)
+    wanted = labelled.select(id_col, "node").repartition(2 * tasks, id_col, "node").distinct()
     top = (
-        node_degrees(edges, id_col)
+        node_degrees(edges, id_col, tasks)
         .join(wanted, [id_col, "node"])
         .groupBy(id_col)
         .agg(F.max("degree").alias("graph_max_malware_degree"))

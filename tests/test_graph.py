@@ -65,3 +65,18 @@ def test_labelled_nodes(spark):
     edges = spark.createDataFrame([(0, 1, 2), (0, 2, 3), (1, 5, 5)], "row_id int, from_id long, to_id long")
     labelled = spark.createDataFrame([(0, 3), (0, 9), (1, 3), (0, 3)], "row_id int, node long")
     assert {tuple(r) for r in G.labelled_nodes(edges, labelled, "row_id").collect()} == {(0, 3)}
+
+
+def test_tasks_grow_with_the_edges(spark, monkeypatch):
+    """What one task of the groupings holds used to grow with the table."""
+    monkeypatch.setattr(G, "TASK_EDGES", 50, raising=False)
+    edges = spark.range(2000).selectExpr("id div 20 as rec", "id % 7 as from_id", "id % 11 as to_id").repartition(2)
+    got = G.node_degrees(edges, "rec")
+    parts = got.select(F.spark_partition_id().alias("p"), "rec").groupBy("p").count().collect()
+    assert len(parts) > 40 and max(r["count"] for r in parts) < 100
+    links = {(r["rec"], *sorted((r["from_id"], r["to_id"]))) for r in edges.collect()}
+    want = {}
+    for rec, a, b in links:
+        for node in (a, b):
+            want[rec, node] = want.get((rec, node), 0) + 1
+    assert {(r["rec"], r["node"]): r["degree"] for r in got.collect()} == want
