@@ -5,8 +5,10 @@ blanks (or the ends of the text) around it. Three plans give the same answer:
 
 ``scan``
     Existence test of every term on every text against a broadcast dictionary.
-    No shuffle, one pass, works on streams. Its cost is texts x terms, so it
-    is for small dictionaries only.
+    No shuffle, one pass, works on streams. Terms of several words are met by
+    the words inside them first and compared only with texts that have these;
+    shorter terms are compared with every text, so it is for small
+    dictionaries only.
 ``indexed``
     Every term is filed under an *anchor*, a piece of one of its words. All
     dictionaries asked for share one broadcast index, and every text is split
@@ -27,7 +29,7 @@ blanks (or the ends of the text) around it. Three plans give the same answer:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -45,6 +47,8 @@ ANCHOR_LENGTH = 4
 STRETCH = 12
 # Words on either side that go along with a word; terms reaching further are met by joins.
 REACH = 8
+# Rows that the terms filed for the scan plan are dealt to.
+SCAN_GROUPS = 16
 # Occurrences of a word that one task takes in the shuffled plan.
 TASK_ROWS = 1_000_000
 
@@ -315,7 +319,7 @@ def _scanned(rows: DataFrame, one: TermSet, index: _Index, out: str) -> tuple[Da
     rows = rows.withColumn("_scan_text", one.text()) if parts else rows
     for i, part in enumerate(parts):
         flags.append(f"{out}_{i}")
-        rows = flag_in_place(rows, part, "_scan_text", flags[-1], one.whole_word)
+        rows = _tested_in_place(rows, part, "_scan_text", flags[-1], one.whole_word)
     flag = reduce(lambda a, b: F.greatest(a, b), map(F.col, flags)) if flags else F.lit(0)
     rows = rows.withColumn(out, flag).drop("_scan_text", *flags)
     kept = {k: v for k, v in index.kinds.items() if not (few and _weak(*k))}
@@ -545,6 +549,32 @@ def flag_matches(
     return flag_sets(docs, [TermSet(flag, terms, text_col, whole_word, clean, plan)], keep)
 
 
+def _scan_groups(terms: DataFrame, whole_word: bool) -> DataFrame:
+    """``(_keys, _filed)``: hashes of words inside terms, and the terms of each, many in a row.
+
+    Pieces of a term with others on both sides are whole words of every text
+    that holds the term, next to each other there too. The key is the hash of
+    two of them in a row, the longest, or of the only one; a term without any
+    is a row of its own, without a key.
+    """
+    given = F.concat(F.lit(" "), "term", F.lit(" ")) if whole_word else F.col("term")
+    rows = terms.select("term", F.split(given, NON_WORD, -1).alias("p"))
+    rows = rows.select("term", F.slice("p", F.lit(2), F.greatest(F.size("p") - 2, F.lit(0))).alias("p"))
+    offered = _in_a_row(F.col("p"), lambda a, b: F.struct((F.length(a) + F.length(b)).alias("n"), F.xxhash64(a, b).alias("key")))
+    key = F.when(F.size("p") > 1, F.array_max(offered)["key"]).when(F.size("p") == 1, F.xxhash64(F.get("p", F.lit(0))))
+    rows = rows.select("term", key.alias("key"))
+    alone = F.when(F.col("key").isNull(), F.col("term")).alias("alone")
+    keyed = rows.groupBy("key", alone).agg(F.collect_set("term").alias("terms"))
+    filed = keyed.groupBy(F.pmod("key", F.lit(SCAN_GROUPS)).alias("group"), "alone").agg(F.collect_list(F.struct("key", "terms")).alias("f"))
+    return filed.select(F.filter("f.key", F.isnotnull).alias("_keys"), F.col("f.terms").alias("_filed"))
+
+
+def _in_a_row(words: Column, of: Callable[[Column, Column], Column]) -> Column:
+    """What ``of`` gives for every two words in a row."""
+    firsts = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+    return F.zip_with(firsts, F.slice(words, F.lit(2), F.size(words)), of)
+
+
 def flag_in_place(
     docs: DataFrame,
     terms: DataFrame,
@@ -554,9 +584,33 @@ def flag_in_place(
 ) -> DataFrame:
     """The scan plan as a 0/1 column: an existence join that keeps rows where they are.
 
-    The dictionary is sent to all tasks and compared term by term; callers that
-    cannot bound it measure it first (``flag_sets`` does).
+    The dictionary is filed and written once and sent to all tasks; callers
+    that cannot bound it measure it first (``flag_sets`` does).
     """
+    filed = written(_scan_groups(terms, whole_word), "scan")
+    text = fill_text(F.col(text_col))
+    if filed.filter(F.size("_keys") > 0).isEmpty():
+        words = docs.withColumn("_scan_keys", F.array().cast("array<bigint>"))
+    else:
+        words = docs.withColumn("_scan_words", F.split(text, NON_WORD, -1))
+        hashes = F.concat(F.transform("_scan_words", lambda a: F.xxhash64(a)), _in_a_row(F.col("_scan_words"), lambda a, b: F.xxhash64(a, b)))
+        words = words.withColumn("_scan_keys", hashes).drop("_scan_words")
+    text, asked = text.outer(), F.col("_keys")
+    met = F.array_intersect(F.col("_scan_keys").outer(), asked)
+
+    def held(key: Column) -> Column:
+        """Whether the text holds a term of this key."""
+        filed_there = F.get("_filed", (F.array_position(asked, key) - 1).cast("int"))
+        return F.exists(filed_there, lambda term: _holds(text, term, whole_word))
+
+    lone = _holds(text, F.get(F.get("_filed", F.lit(0)), F.lit(0)), whole_word)
+    hit = F.when(F.size(asked) == 0, lone).when(F.size(met) > 0, F.exists(met, held))
+    hit = F.broadcast(filed).filter(hit).exists()
+    return words.withColumn(flag, F.coalesce(hit.cast("int"), F.lit(0))).drop("_scan_keys")
+
+
+def _tested_in_place(docs: DataFrame, terms: DataFrame, text_col: str, flag: str, whole_word: bool) -> DataFrame:
+    """The same for the few terms that no word inside them tells, compared one by one."""
     small = F.broadcast(terms.select(F.col("term").alias("_term")))
     text = fill_text(F.col(text_col)).outer()
     hit = small.filter(_holds(text, F.col("_term"), whole_word)).exists()

@@ -136,3 +136,34 @@ def test_scan_plan_has_no_shuffle(spark):
     docs, frame = frames(spark, ["abcd"], ["abcd"])
     plan = M.flag_in_place(docs, frame, "text")._jdf.queryExecution().executedPlan().toString()
     assert "ExistenceJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_scan_files_terms_of_several_words(spark):
+    terms = ["a b c d", "z b c y", "b", "b c", "x, y; z", "p q r", "p q r s t"]
+    filed = M._scan_groups(spark.createDataFrame([(t,) for t in terms], "term string"), False).collect()
+    assert sorted(len(r["_keys"]) for r in filed if not r["_keys"]) == [0, 0]  # the terms of one and of two words
+    assert sum(len(r["_keys"]) for r in filed) == 4  # the first two have their inner words in common
+    held = sorted(t for r in filed for some in r["_filed"] for t in some)
+    assert held == sorted(terms)
+
+
+@pytest.mark.parametrize("whole_word", [False, True])
+def test_scan_equals_brute_force_on_texts_as_they_are(spark, whole_word):
+    rnd = random.Random(3)
+    marks = [" ", ", ", "-", "  ", "_", "; "]
+
+    def run(n):
+        return "".join(rnd.choice("abé") * rnd.randint(1, 2) + rnd.choice(marks) for _ in range(n))
+
+    texts = [run(rnd.randint(0, 20)) for _ in range(150)] + [None, "", "-", " a-b "]
+    terms = []
+    for _ in range(40):
+        source = rnd.choice([t for t in texts if t])
+        start = rnd.randrange(len(source))
+        terms += [source[start : start + rnd.randint(6, 16)], run(rnd.randint(3, 5))]
+    terms = [t for t in terms if len(t) > 5]
+    docs, frame = frames(spark, texts, [*terms, *terms[:5], None])
+    got = M.flag_in_place(docs, frame, "text", "flag", whole_word)
+    assert got.columns == ["doc_id", "text", "flag"]
+    assert ids(got.filter("flag = 1").select("doc_id")) == brute(texts, terms, whole_word)
+    assert got.count() == len(texts)
