@@ -27,6 +27,9 @@ BANDS, ROWS = 24, 5  # at similarity 0.8 a pair is missed with probability 7e-5
 # Buckets of more members than PAIRED are compared in blocks of about BLOCK shingles;
 # a member counts as LIGHTEST shingles at least, which bounds the members of a block.
 PAIRED, BLOCK, LIGHTEST = 8, 1 << 18, 256
+# Rows of a matrix compared at once, and elements multiplied at once: a task holds little beside the counts.
+TILE, WIDTH = 128, 512
+CHUNK = 1 << 19  # bytes of text worked on at once
 _GAP = 0xA24BAED4963EE407
 _COORDINATE = np.uint64(0x9FB21C651E98DF25)
 
@@ -117,7 +120,7 @@ def _signed_rows(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in seq.parts(batches):
             texts = seq.texts_of(batch.column(1))
-            for a, b in seq.text_chunks(texts):
+            for a, b in seq.text_chunks(texts, CHUNK):
                 some = seq.word_symbols(texts[a:b])
                 text, element, weight = elements(some, n)
                 keys = band_keys(dart_signatures(text, element, weight, b - a, bands * rows), bands)
@@ -143,7 +146,7 @@ def _shingle_rows(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in seq.parts(batches):
             texts = seq.texts_of(batch.column(1))
-            for a, b in seq.text_chunks(texts):
+            for a, b in seq.text_chunks(texts, CHUNK):
                 text, element, weight = elements(seq.word_symbols(texts[a:b]), n)
                 times = weight.astype(np.int64)
                 copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -323,16 +326,20 @@ def linked(sets: np.ndarray, sizes: np.ndarray, group: np.ndarray, least: float)
     np.add.at(shared, (pair[:, 1], pair[:, 0]), 1)
     owner, element = owner[~rare], element[~rare]
     element = np.unique(element, return_inverse=True)[1]
-    width = 2048
-    edges = np.searchsorted(element, np.arange(0, (element[-1] if len(element) else -1) + 1 + width, width))
+    edges = np.searchsorted(element, np.arange(0, (element[-1] if len(element) else -1) + 1 + WIDTH, WIDTH))
+    rows = [(i, min(i + TILE, n)) for i in range(0, n, TILE)]
     for start, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
-        part = np.zeros((n, width), np.float32)
-        part[owner[x:y], element[x:y] - start * width] = 1
-        shared += part @ part.T
-    total = sizes[:, None] + sizes[None, :] - shared.astype(np.float64)
-    close = (shared >= least * total) & (group[:, None] < group[None, :])
-    i, j = np.nonzero(close)
-    return group[i], group[j]
+        part = np.zeros((n, WIDTH), np.float32)
+        part[owner[x:y], element[x:y] - start * WIDTH] = 1
+        for i, j in rows:
+            shared[i:j] += part[i:j] @ part.T
+    found = []
+    for i, j in rows:
+        total = sizes[i:j, None] + sizes[None, :] - shared[i:j].astype(np.float64)
+        close = (shared[i:j] >= least * total) & (group[i:j, None] < group[None, :])
+        a, b = np.nonzero(close)
+        found.append((group[a + i], group[b]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (group[:0], group[:0])
 
 
 def joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:

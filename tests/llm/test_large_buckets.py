@@ -1,5 +1,7 @@
 """Buckets of many near copies that no hub ties together."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +80,30 @@ def test_links_of_blocks_equal_brute_force(spark):
         }
         assert set(zip(a.tolist(), b.tolist())) == want and want
     assert minhash.joined(np.array([4, 3, 1]), np.array([3, 2, 0]), 6).tolist() == [0, 0, 2, 2, 2, 5]
+
+
+def test_block_comparison_is_exact_and_holds_little():
+    rng = np.random.default_rng(1)
+    common = rng.integers(0, 2**62, 400)
+
+    def drawn(count, shared, own):
+        return [np.r_[rng.choice(common[:shared], shared - 9, replace=False), rng.integers(0, 2**62, own)] for _ in range(count)]
+
+    few = drawn(300, 60, 3)
+    sizes, group = np.array([len(x) for x in few]), np.arange(300)
+    got = set(zip(*(x.tolist() for x in minhash.linked(np.concatenate(few), sizes, group, 0.7))))
+    want = set()
+    for i in range(300):
+        for j in range(i + 1, 300):
+            both = len(np.intersect1d(few[i], few[j]))
+            if both >= 0.7 * (sizes[i] + sizes[j] - both):
+                want.add((i, j))
+    assert got == want and 0 < len(want) < 300 * 299 / 2
+
+    many = drawn(2048, 209, 56)
+    sets, sizes = np.concatenate(many), np.array([len(x) for x in many])
+    tracemalloc.start()
+    minhash.linked(sets, sizes, np.arange(2048), 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
