@@ -129,6 +129,13 @@ class PieceModel:
 
     def merged(self, words: list[str]) -> list[list[int]]:
         """Ids of each word; characters without a piece become their bytes."""
+        symbol, sizes = self.symbols(words)
+        listed, ends = symbol.tolist(), np.cumsum(sizes).tolist()
+        parts = [listed[a:b] for a, b in zip([0, *ends], ends)]
+        return [self.with_bytes(p) for p in parts] if (symbol < 0).any() else parts
+
+    def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of all words one after the other, and how many each word has; ``-1 - c``: character ``c`` has none."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         known = self.symbol[points]
@@ -160,12 +167,9 @@ class PieceModel:
             to[changed] = np.where(same, self.join(symbol[changed], symbol[after]), np.int32(-1))
             rank[changed] = self.rank_of(to[changed])
         if not done_words:
-            return [[] for _ in words]
+            return symbol, np.zeros(len(words), np.int64)
         word, symbol = np.concatenate(done_words), np.concatenate(done_symbols)
-        listed = symbol[np.argsort(word, kind="stable")].tolist()
-        ends = np.cumsum(np.bincount(word, minlength=len(words))).tolist()
-        parts = [listed[a:b] for a, b in zip([0, *ends], ends)]
-        return [self._with_bytes(p) for p in parts] if (symbol < 0).any() else parts
+        return symbol[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
     def _leftmost(self, symbol, word, to, rank, best) -> np.ndarray:
         """Places of the best pair of each word that are joined in this round."""
@@ -194,7 +198,7 @@ class PieceModel:
             chosen = chosen[~(later & np.isin(owner, owner[early]))]
         return chosen
 
-    def _with_bytes(self, symbols: list[int]) -> list[int]:
+    def with_bytes(self, symbols: list[int]) -> list[int]:
         out: list[int] = []
         for s in symbols:
             out += [s] if s >= 0 else [self.of_byte.get(b, self.unknown) for b in chr(-1 - s).encode()]
@@ -235,12 +239,21 @@ class PieceModel:
 
 
 class PieceEncoder:
-    """Encodes texts; remembers ids (as decimal text) and texts of words it has met."""
+    """Encodes texts; remembers the ids (as decimal text) of words it has met.
+
+    Words are named without the blank mark in front. ``other`` has the texts of
+    the words that are not decoded to themselves.
+    """
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
-        self.known: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.other: dict[str, str] = {}
+        # Decimal ids as they stand inside a word, then as they end one; texts of pieces and their lengths.
+        self.ended = np.array([d + "," for d in model.digits] + [d + "\n" for d in model.digits], object)
+        self.texts = np.array([model.texts.get(i, "") for i in range(len(model.digits))], object)
+        self.lengths = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """Number of ids, ids joined by commas, and decoded text of each text."""
@@ -252,24 +265,67 @@ class PieceEncoder:
             size += len(text)
         yield from self._chunk(texts[at:])
 
+    def _words(self, text: str) -> list[str]:
+        """Single blanks part words; runs of blanks, a blank in front and blank marks are parted by the model."""
+        if not text:
+            return []
+        if text[0] == " " or "  " in text or BLANK in text:
+            return [w[1:] for w in self.model.words.findall(BLANK + text.replace(" ", BLANK))]
+        return text.split(" ")
+
+    def _learn(self, met: set[str]) -> list[str]:
+        """Ids of all these words are known afterwards; the words not to be remembered."""
+        new = []
+        for w in met.difference(self.known):
+            ids = self.older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.known[w] = ids
+        if not new:
+            return []
+        symbol, sizes = self.model.symbols([BLANK + w for w in new])
+        last = np.cumsum(sizes) - 1
+        bare = symbol < 0
+        piece = np.where(bare, 0, symbol)
+        texts, lengths = self.texts[piece], self.lengths[piece]
+        piece[last] += len(self.lengths)
+        self.known.update(zip(new, "".join(self.ended[piece].tolist()).split("\n")))
+        # All texts at once: equal as a whole and of equal lengths, each is equal to its word.
+        texts[bare] = [chr(-1 - s) for s in symbol[bare].tolist()]
+        lengths[bare] = 1
+        odd = np.add.reduceat(bare, last - sizes + 1) > 0
+        if "".join(texts.tolist()) != (" " + " ".join(new)).replace(BLANK, " "):
+            odd[:] = True
+        odd |= np.add.reduceat(lengths, last - sizes + 1) != np.fromiter(map(len, new), np.int64, len(new)) + 1
+        for i in np.flatnonzero(odd).tolist():
+            ids = self.model.with_bytes(symbol[last[i] - sizes[i] + 1 : last[i] + 1].tolist())
+            self.known[new[i]] = ",".join([self.model.digits[s] for s in ids])
+            text = self.model.surface(ids)
+            if text != " " + new[i].replace(BLANK, " "):
+                self.other[new[i]] = text
+        return [w for w in new if len(w) >= 64]
+
     def _chunk(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        split = self.model.words.findall
-        cut = [split(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        cut = [self._words(t) for t in texts]
         met = set().union(*cut)
-        found = {w: self.known.get(w) or self.older.get(w) for w in met}
-        new = [w for w, f in found.items() if f is None]
-        if new:
-            surface, digits = self.model.surface, self.model.digits
-            for w, ids in zip(new, self.model.merged(new)):
-                found[w] = (len(ids), ",".join([digits[i] for i in ids]), surface(ids))
-        if len(self.known) + len(found) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        self.known.update((w, f) for w, f in found.items() if len(w) <= 64)
+        long = self._learn(met)
+        ids_of, other = self.known.__getitem__, self.other
+        same = not other or met.isdisjoint(other)
         out = []
-        for words in cut:
-            rows = [found[w] for w in words]
-            text = "".join([r[2] for r in rows])
-            out.append((sum([r[0] for r in rows]), ",".join([r[1] for r in rows]), text[1:]))
+        for text, words in zip(texts, cut):
+            ids = ",".join(map(ids_of, words))
+            if same:
+                text = text.replace(BLANK, " ")
+            else:
+                text = "".join([other[w] if w in other else " " + w.replace(BLANK, " ") for w in words])[1:]
+            out.append((ids.count(",") + 1 if ids else 0, ids, text))
+        for w in long:
+            del self.known[w]
+            other.pop(w, None)
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+            self.other = {w: t for w, t in other.items() if w in self.older}
         return out
 
 

@@ -60,6 +60,15 @@ def test_any_ids_decode_like_the_library(model, library):
         assert model.decode(ids) == library.decode(ids)
 
 
+def test_plain_words_are_not_decoded_one_by_one(model, library, monkeypatch):
+    texts = ["plain words, again\nand more words ", "Wörter  mit 𝔘 \x00", "words"]
+    decoded, surface = [], model.surface
+    monkeypatch.setattr(model, "surface", lambda ids: decoded.append(ids) or surface(ids))
+    got = list(piece_bpe.PieceEncoder(model).encode(texts))
+    assert [g[1:] for g in got] == [(",".join(map(str, i)), library.decode(i)) for i in library.encode(texts)]
+    assert len(decoded) == 3  # the words with characters that have no piece
+
+
 def test_small_memory_changes_nothing(model, library, monkeypatch):
     monkeypatch.setattr(piece_bpe, "REMEMBERED", 3)
     monkeypatch.setattr(piece_bpe, "CHUNK", 10)
