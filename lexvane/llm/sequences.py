@@ -20,6 +20,8 @@ CHUNK = 1 << 20  # bytes of text worked on at once; a longer text is a chunk of
 _PRIME = (1 << 61) - 1
 _BASE = 0x1E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, _PRIME)
+LOOKED_UP = 32  # bytes of a word, at most, whose products with powers are looked up
+_tables: dict[bytes, np.ndarray] = {}
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -102,11 +104,11 @@ class Symbols(NamedTuple):
     bounds: np.ndarray
 
 
-def byte_symbols(texts: list[bytes]) -> Symbols:
+def byte_symbols(texts: list[bytes], table: np.ndarray = BYTES) -> Symbols:
     buffer = np.frombuffer(b"".join(texts), np.uint8)
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) for t in texts], out=bounds[1:])
-    return Symbols(BYTES[buffer], bounds)
+    return Symbols(table[buffer], bounds)
 
 
 def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -121,9 +123,41 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def word_symbols(texts: list[bytes], table: np.ndarray = BYTES) -> Symbols:
-    """A 64-bit hash for each word."""
+    """A 64-bit hash for each word, ``run_hash`` of its bytes.
+
+    A word's sum begins with the power 0, so products of all bytes with the first
+    powers are looked up: no prefix sums over the text. Only words longer than that
+    go through ``prefix``, on their own.
+    """
     buffer, begins, ends, bounds = word_spans(texts)
-    return Symbols(run_hash(prefix(table[buffer]), begins, ends - begins), bounds)
+    sizes = ends - begins
+    order = np.argsort(-np.minimum(sizes, LOOKED_UP + 1).astype(np.int8), kind="stable")  # the longest first
+    # So many words, in this order, have a byte at each place.
+    alive = len(sizes) - np.cumsum(np.bincount(np.minimum(sizes, LOOKED_UP), minlength=LOOKED_UP + 1))
+    products, at, sums = _products(table), begins[order], np.zeros(len(sizes), np.uint64)
+    for i, n in enumerate(alive[:LOOKED_UP].tolist()):
+        if not n:
+            break
+        sums[:n] += products[i][buffer[at[:n]]]
+        at[:n] += 1
+        if i % 6 == 5:  # seven numbers below the prime stay below 2**64
+            sums[:n] = _below(sums[:n])
+    values = np.empty_like(sums)
+    values[order] = mix(_below(sums))
+    long = np.flatnonzero(sizes > LOOKED_UP)
+    if len(long):
+        some = byte_symbols([buffer[x:y].tobytes() for x, y in zip(begins[long].tolist(), ends[long].tolist())], table)
+        values[long] = run_hash(prefix(some.values), some.bounds[:-1], sizes[long])
+    return Symbols(values, bounds)
+
+
+def _products(table: np.ndarray) -> np.ndarray:
+    """The products of every byte's symbol with the first powers."""
+    key = table.tobytes()
+    if key not in _tables:
+        symbols = _below(table)
+        _tables[key] = np.stack([_times(symbols, p) for p in _power(LOOKED_UP)[0][:LOOKED_UP]])
+    return _tables[key]
 
 
 def kept_words(text: bytes, keep: np.ndarray) -> bytes:

@@ -106,6 +106,17 @@ def test_cut_texts_keeps_columns_and_clean_rows(docs, corpus):
     assert not any(k[0] == 101 for k in got)
 
 
+def test_words_are_hashed_without_prefix_sums(monkeypatch):
+    texts = [b"", b" a b\tlonger\x0b", b"x" * 32 + b" " + b"y" * 33, "Ünïcödé 中文".encode() + b"\xff", b"Z" * 9000 + b" end"]
+    for table in (seq.BYTES, seq.LOWER_BYTES):
+        buffer, begins, ends, bounds = seq.word_spans(texts)
+        want = seq.run_hash(seq.prefix(table[buffer]), begins, ends - begins)
+        got = seq.word_symbols(texts, table)
+        assert (got.values == want).all() and (got.bounds == bounds).all()
+    monkeypatch.setattr(seq, "prefix", None)  # of bytes; only words longer than LOOKED_UP need it
+    assert len(seq.word_symbols(texts[:2]).values) == 3
+
+
 def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).collect() == []
     assert suffix_dedup.remove_repeats(empty).collect() == []
