@@ -11,10 +11,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lexvane.llm import sequences as seq
 from lexvane.llm.repeats import (
@@ -151,17 +151,19 @@ def cut_texts(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     ranges = repeated_ranges(rows.select(*keys), n)
     joined = with_ranges(rows.select("rid", "whole"), ranges, "left")
 
-    @F.pandas_udf("string")
-    def kept(text: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.Series:
-        out = []
-        for t, s, c in zip(text, starts, counts):
-            words = (t or "").encode().split()
-            removed = seq.covered(len(words), np.asarray(s, np.int64), np.asarray(c, np.int64), n)
-            out.append(b" ".join([w for w, gone in zip(words, removed.tolist()) if not gone]).decode())
-        return pd.Series(out, dtype=object)
-
-    # Only documents that lose something go through Python.
-    changed = joined.filter("starts is not null").withColumn("new", kept("whole.text", "starts", "counts"))
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i, text in enumerate(seq.texts_of(batch.column(0).field("text"))):
+                words = text.split()
+                removed = seq.covered(len(words), *range_arrays(batch.column(1), batch.column(2), i), n)
+                out.append(b" ".join([w for w, gone in zip(words, removed.tolist()) if not gone]).decode())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["whole", "new"])
+
+    # Only documents that lose something go through Python, and once: a function used as a
+    # column is called for the filter and again for the row, by two workers in each task.
+    losing = joined.filter("starts is not null").select("whole", "starts", "counts")
+    changed = losing.mapInArrow(kept, StructType([joined.schema["whole"], StructField("new", StringType())]))
     row = F.col("whole").withField("text", F.col("new"))
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.length("new").cast(docs.schema["n_chars"].dataType))

@@ -106,6 +106,11 @@ def test_cut_texts_keeps_columns_and_clean_rows(docs, corpus):
     assert not any(k[0] == 101 for k in got)
 
 
+def test_cut_texts_needs_one_worker_in_a_task(docs):
+    plan = substring_dedup.cut_texts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") == 1
+
+
 def test_words_are_hashed_without_prefix_sums(monkeypatch):
     texts = [b"", b" a b\tlonger\x0b", b"x" * 32 + b" " + b"y" * 33, "Ünïcödé 中文".encode() + b"\xff", b"Z" * 9000 + b" end"]
     for table in (seq.BYTES, seq.LOWER_BYTES):
