@@ -8,7 +8,7 @@ are smoothed with the words: ``p(w | v) = (c(vw) + M p(w)) / (c(v) + M)``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ BUCKET_KEYS = 16_384  # n-grams a bucket has, about
 SEND_BYTES = 64 << 20  # of the filter, or of the word counts, in a block
 GROUP = 16  # MB of text, at most, that a task takes through all blocks at once
 FLUSH = 4_000_000  # pairs counted in a task before they are handed on
+ASKED = 100_000  # hashes looked up in the filter at once
+PARTS = 16  # ranges of hashes in which they are handed on, one at a time; a power of two
 
 END = np.uint64(0x5DEECE66D1234567)  # the token that ends a text
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -71,12 +73,17 @@ class Filter:
     def __init__(self, first: int, shift: int, offsets: np.ndarray, bits: np.ndarray) -> None:
         self.first, self.shift, self.offsets, self.bits = first, shift, offsets, bits
 
-    def holds(self, h: np.ndarray) -> np.ndarray:
-        bucket = _bucket(h, self.shift) - self.first
-        return (bucket >= 0) & (bucket < len(self.offsets) - 1)
+    def span(self, h: np.ndarray) -> slice:
+        """Those of ascending hashes whose buckets are here."""
+        low, high = (bucket << self.shift for bucket in (self.first, self.first + len(self.offsets) - 1))
+        end = np.searchsorted(h, np.uint64(high)) if high < 1 << 64 else len(h)
+        return slice(int(np.searchsorted(h, np.uint64(low))), int(end))
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         """Counts of hashes whose buckets are here."""
+        return np.concatenate([np.zeros(0), *(self._counts(h[i : i + ASKED]) for i in range(0, len(h), ASKED))])
+
+    def _counts(self, h: np.ndarray) -> np.ndarray:
         bucket = _bucket(h, self.shift) - self.first
         start, size = self.offsets[bucket] * 8, (self.offsets[bucket + 1] - self.offsets[bucket]) * 8
         levels = np.zeros(len(h), np.int64)
@@ -136,8 +143,6 @@ def _counted(docs: DataFrame, pair: bool, shift: int) -> DataFrame:
     """
 
     def packed(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(h, kind="stable")
-        h, n = h[order], n[order]
         bucket = _bucket(h, shift)
         begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         ends = np.r_[begin[1:], len(h)]
@@ -156,16 +161,16 @@ def _counted(docs: DataFrame, pair: bool, shift: int) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:
-            texts = seq.texts_of(batch.column(0))
-            for a, b in seq.text_chunks(texts):
-                values, bounds = tokens(texts[a:b])
-                held.append(np.unique(pairs(values, bounds) if pair else values, return_counts=True))
-                size += len(held[-1][0])
+            column = batch.column(0)
+            for a, b in seq.column_chunks(column):
+                values, bounds = tokens(seq.texts_of(column.slice(a, b - a)))
+                h, n = np.unique(pairs(values, bounds) if pair else values, return_counts=True)
+                held.append((h, n.astype(np.uint32)))
+                size += len(h)
                 if size >= FLUSH:
-                    yield packed(*_merged(held))
+                    yield from (packed(*some) for some in _in_parts(held))
                     held, size = [], 0
-        if size:
-            yield packed(*_merged(held))
+        yield from (packed(*some) for some in _in_parts(held))
 
     return docs.select("text").mapInArrow(run, "bucket long, keys binary, counts binary")
 
@@ -175,12 +180,22 @@ def _thin(counts: np.ndarray) -> bytes:
     return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint64).tobytes()
 
 
+def _in_parts(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The merged hashes and counts of ascending runs, range after range, so that little is sorted at once."""
+    edges = np.arange(1, PARTS, dtype=np.uint64) << np.uint64(65 - PARTS.bit_length())
+    cuts = [[0, *np.searchsorted(h, edges).tolist(), len(h)] for h, _ in held]
+    for i in range(PARTS):
+        some = [(h[c[i] : c[i + 1]], n[c[i] : c[i + 1]]) for (h, n), c in zip(held, cuts)]
+        if any(len(h) for h, _ in some):
+            yield _merged(some)
+
+
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     h, n = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
     order = np.argsort(h, kind="stable")
     h, n = h[order], n[order]
     begin = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
-    return h[begin], np.add.reduceat(n, begin) if len(h) else n
+    return h[begin], np.add.reduceat(n, begin, dtype=np.int64) if len(h) else n
 
 
 def _summed(counted: DataFrame, pair: bool, shift: int) -> DataFrame:
@@ -202,7 +217,7 @@ def _summed(counted: DataFrame, pair: bool, shift: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, bytes, bytes]] = []
-        for batch in batches:
+        for batch in seq.parts(batches):
             done = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0][0] != row[0]:
@@ -249,9 +264,10 @@ def _load_filter(buckets: DataFrame, shift: int, low: int, high: int) -> Filter:
 def _load_words(buckets: DataFrame, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
     part = buckets.filter(F.col("bucket").between(low, high)).select("hashes", "counts").orderBy("bucket")
     rows = [(r["hashes"], r["counts"]) for r in part.toLocalIterator()]
+    counts = np.frombuffer(b"".join(n for _, n in rows), np.int64)
     return (
         np.frombuffer(b"".join(h for h, _ in rows), np.uint64),
-        np.frombuffer(b"".join(n for _, n in rows), np.int64),
+        counts.astype(np.min_scalar_type(counts.max(initial=0))),
     )
 
 
@@ -306,10 +322,10 @@ def _covers(blocks: list[tuple[int, int]], shift: int) -> list[tuple[int, int]]:
     return [(low if i else 0, end) for i, ((low, _), end) in enumerate(zip(blocks or [(0, 0)], ends))]
 
 
-def _in_turn(sent: list[Broadcast]) -> Iterator:
-    """The blocks one after the other; a task keeps none but a single one."""
+def _in_turn(sent: list[Broadcast], use: Callable[..., None]) -> None:
+    """Use the blocks one after the other; a task holds none but a single one, also while it reads the next."""
     for handle in sent:
-        yield handle.value
+        use(handle.value)
         if len(sent) > 1:
             vars(handle).pop("_value", None)  # it is read from the worker's disk again when needed
 
@@ -321,43 +337,57 @@ def _scored(
     below = total + ADDED * (distinct + 1)
     most = seq.CHUNK * min(GROUP, max(len(of_words), len(of_pairs)))
 
+    def scored(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """A group of texts: cut up chunk by chunk, so that numbers of tokens alone are kept of all."""
+        chunks = []
+        for a, b in seq.column_chunks(batch.column(2)):
+            values, bounds = tokens(seq.texts_of(batch.column(2).slice(a, b - a)))
+            chunks.append((a, b, bounds, *_numbered(values), *_numbered(_known_bits(pairs(values, bounds), shift))))
+        different, asked = _union([chunk[3] for chunk in chunks]), _union([chunk[5] for chunk in chunks])
+        exact, about = np.zeros(len(different), np.int64), np.zeros(len(different))
+        together = np.zeros(len(asked))
+
+        def count_words(block: tuple[np.ndarray, np.ndarray, Filter]) -> None:
+            words, counts, found = block
+            mine = found.span(different)
+            exact[mine] = _exact_counts(different[mine], words, counts)
+            about[mine] = found.counts(different[mine])
+
+        def count_pairs(found: Filter) -> None:
+            mine = found.span(asked)
+            together[mine] = found.counts(asked[mine])
+
+        _in_turn(of_words, count_words)
+        _in_turn(of_pairs, count_pairs)
+        ended = about[np.searchsorted(different, END)]
+        for a, b, bounds, words, back, two, again in chunks:
+            lengths = np.diff(bounds)
+            owner = np.repeat(np.arange(b - a), lengths)
+            at = np.searchsorted(different, words)
+            here = about[at][back]
+            first = np.empty(len(back))
+            first[1:] = here[:-1]
+            first[bounds[:-1]] = ended
+            both = np.minimum(together[np.searchsorted(asked, two)][again], np.minimum(first, here))
+            score = np.log10((both + PRIOR * (here + ADDED) / below) / (first + PRIOR))
+            base = np.log10((exact[at] + ADDED) / below)
+            part = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    part.column(1),
+                    pa.array(lengths),
+                    pa.array(np.bincount(owner, (exact[at] > 0)[back], b - a).astype(np.int64)),
+                    pa.array(np.bincount(owner, base[back], b - a)),
+                    pa.array(np.bincount(owner, score, b - a)),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = seq.texts_of(batch.column(2))
-            for a, b in seq.text_chunks(texts, most):
-                values, bounds = tokens(texts[a:b])
-                lengths = np.diff(bounds)
-                owner = np.repeat(np.arange(b - a), lengths)
-                different, back = np.unique(values, return_inverse=True)
-                exact, about = np.zeros(len(different), np.int64), np.zeros(len(different))
-                for words, counts, found in _in_turn(of_words):
-                    mine = np.flatnonzero(found.holds(different))
-                    exact[mine] = _exact_counts(different[mine], words, counts)
-                    about[mine] = found.counts(different[mine])
-                here = about[back]
-                first = np.empty(len(values))
-                first[1:] = here[:-1]
-                first[bounds[:-1]] = about[np.searchsorted(different, END)]
-                asked, again = np.unique(_known_bits(pairs(values, bounds), shift), return_inverse=True)
-                together = np.zeros(len(asked))
-                for found in _in_turn(of_pairs):
-                    mine = np.flatnonzero(found.holds(asked))
-                    together[mine] = found.counts(asked[mine])
-                both = np.minimum(together[again], np.minimum(first, here))
-                score = np.log10((both + PRIOR * (here + ADDED) / below) / (first + PRIOR))
-                base = np.log10((exact + ADDED) / below)
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(lengths),
-                        pa.array(np.bincount(owner, (exact > 0)[back], b - a).astype(np.int64)),
-                        pa.array(np.bincount(owner, base[back], b - a)),
-                        pa.array(np.bincount(owner, score, b - a)),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
-                )
+            for a, b in seq.column_chunks(batch.column(2), most):
+                yield from scored(batch.slice(a, b - a))
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
@@ -365,6 +395,17 @@ def _scored(
     )
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, ascending, and the place of each value among them."""
+    different, back = np.unique(values, return_inverse=True)
+    return different, back.astype(np.int32)
+
+
+def _union(parts: list[np.ndarray]) -> np.ndarray:
+    """The different values of ascending parts."""
+    return np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+
+
 def _exact_counts(h: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     if not len(words):
         return np.zeros(len(h), np.int64)

@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1 << 20  # bytes of text worked on at once; a longer text is a chunk of its own
 
@@ -215,14 +216,23 @@ def anchors(symbols: Symbols, sums: np.ndarray, n: int, k: int) -> tuple[Anchors
 
 def text_chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` bytes together."""
+    return _chunks([len(t) for t in texts], most)
+
+
+def column_chunks(column: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """The same ranges for a column of strings, of which none is unpacked."""
+    return _chunks(pc.fill_null(pc.binary_length(column), 0).to_pylist(), most)
+
+
+def _chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     at, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > at and size + len(text) > most:
+    for i, n in enumerate(sizes):
+        if i > at and size + n > most:
             yield at, i
             at, size = i, 0
-        size += len(text) + 1
-    if at < len(texts):
-        yield at, len(texts)
+        size += n + 1
+    if at < len(sizes):
+        yield at, len(sizes)
 
 
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
