@@ -402,8 +402,12 @@ def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _union(parts: list[np.ndarray]) -> np.ndarray:
-    """The different values of ascending parts."""
-    return np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+    """The different values of ascending parts; ``np.unique`` would put them in a hash table."""
+    if len(parts) == 1:
+        return parts[0]
+    values = np.concatenate(parts)
+    values.sort()
+    return values[np.r_[True, values[1:] != values[:-1]]]
 
 
 def _exact_counts(h: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
