@@ -11,10 +11,13 @@ blanks (or the ends of the text) around it. Three plans give the same answer:
     dictionaries only.
 ``indexed``
     Every term is filed under an *anchor*, a piece of one of its words. All
-    dictionaries asked for share one broadcast index, and every text is split
-    once: its words look up all kinds of anchors, and only the few candidates
-    are compared, first with the neighbouring words. Flags are gathered by row,
-    so texts are read once, and only flags and numbers leave the stage.
+    dictionaries asked for share one broadcast index. Texts are split once to
+    count their words: those that occur often look up all kinds of anchors once
+    for all texts. Then every text is split again; a known word asks for what it
+    was found to need, others look up their anchors where they stand. A phrase
+    is asked for by its anchor and a piece of the word beside it, and only the
+    few candidates are compared. Flags are gathered by row, so only flags and
+    numbers leave the stage.
 ``shuffled``
     For dictionaries beyond the broadcast bound. Texts are split once, and a
     table of the words and how often they occur (its size is that of the
@@ -47,6 +50,14 @@ ANCHOR_LENGTH = 4
 STRETCH = 12
 # Words on either side that go along with a word; terms reaching further are met by joins.
 REACH = 8
+# Words that are split off a text together, besides those they reach.
+WORDS_ALONG = 64
+# Words met with the index once for all texts: how many at most, how often they occur at least, how long they are at most.
+KNOWN_WORDS = 400_000
+KNOWN_OFTEN = 4
+KNOWN_LENGTH = 64
+# What the word in front of every text asks, and a word that holds a term: no hash of an anchor ends so.
+KEEP, HIT = 0, 15
 # Rows that the terms filed for the scan plan are dealt to.
 SCAN_GROUPS = 16
 # Occurrences of a word that one task takes in the shuffled plan.
@@ -168,14 +179,36 @@ def _best(offered: DataFrame, cost: str) -> DataFrame:
     return offered.groupBy("term").agg(best.alias("b")).select("term", "b.*")
 
 
+def _sided(filed: DataFrame) -> DataFrame:
+    """Add ``side``: what a word beside the anchored one has, for a second key.
+
+    It is how the word before ends (``<``) or how the word after begins (``>``),
+    in up to ANCHOR_LENGTH characters. The side that the fewest terms of the
+    anchor share is taken, a longer one counting less; terms without words
+    beside their anchor have an empty one. So an anchor common in texts, such as
+    a word between others, does not bring all of its terms to each of its places.
+    """
+    k = F.lit(ANCHOR_LENGTH)
+    offers = F.array(F.concat(F.lit("<"), F.right("before", k)), F.concat(F.lit(">"), F.left("after", k)))
+    offers = F.filter(offers, lambda side: F.length(side) > 1)
+    sides = F.when(F.size(offers) > 0, offers).otherwise(F.array(F.lit("")))
+    offered = filed.withColumn("side", F.explode(sides))
+    best = F.min_by(F.struct(*offered.columns), F.struct("_cost", "side"))
+    shared = F.count("anchor").over(Window.partitionBy("anchor", "side"))
+    offered = offered.withColumn("_cost", shared * F.pow(F.lit(8), ANCHOR_LENGTH + 1 - F.length("side")))
+    return offered.groupBy(F.col("term").alias("_term")).agg(best.alias("b")).select("b.*")
+
+
 def anchored_terms(terms: DataFrame, whole_word: bool = False) -> DataFrame:
-    """Every term once, ``(term, one_word, anchor, before, after, at, size, weak)``.
+    """Every term once, ``(term, one_word, anchor, before, after, at, size, weak, side)``.
 
     Of the anchors a term could have, the one shared by the fewest terms is
-    taken, so that words common to many terms do not gather them all.
+    taken, a short one counting more, so that words common to many terms do not
+    gather them all.
     """
     shared = F.count("anchor").over(Window.partitionBy("anchor"))
-    return _best(_candidates(terms, whole_word).withColumn("shared", shared), "shared")
+    rarity = F.pow(F.lit(8), ANCHOR_LENGTH - F.least(F.col("n"), F.lit(ANCHOR_LENGTH)))
+    return _sided(_best(_candidates(terms, whole_word).withColumn("shared", shared * rarity), "shared"))
 
 
 # -- the shared index --------------------------------------------------------------
@@ -236,43 +269,52 @@ def _keys(kinds: Sequence[tuple[str, int]]) -> Column:
     return F.array(*keys)
 
 
-def _with_keys(words: DataFrame, kinds: Sequence[tuple[str, int]]) -> DataFrame:
+def _with_keys(words: DataFrame, kinds: Sequence[tuple[str, int]], known: Column | None = None) -> DataFrame:
     """Add ``_key``: every anchor of these kinds that a word can answer to, one a row.
 
     For anchors anywhere in a word, words are cut into overlapping stretches
-    first (one for most words), and a stretch has a fixed list of places.
-    Without lambdas all of this runs inside generated code.
+    first (one for most words), and a stretch into its places. Without lambdas
+    all of this runs inside generated code. ``known`` is an array of keys to
+    take instead, where it is not null.
     """
     marked = [k for k in kinds if k[0]]
     sizes = [n for m, n in kinds if not m]
+    if known is not None:
+        words = words.withColumn("_known", known)
+    there = F.lit(False) if known is None else F.col("_known").isNotNull()
+
+    def one_a_row(keyed: DataFrame, keys: Column) -> DataFrame:
+        keys = keys if known is None else F.coalesce("_known", keys)
+        return keyed.withColumn("_key", F.explode(keys)).drop("_start", "_stretch", "_place", "_known").filter(F.col("_key").isNotNull())
+
     if not sizes:
-        if len(marked) == 1 and marked[0][0] == "=":
-            return words.withColumn("_key", F.concat(F.lit("="), F.col("_word")))
-        return words.withColumn("_key", F.explode(_keys(marked))).filter(F.col("_key").isNotNull())
+        return one_a_row(words, _keys(marked))
+    once = F.array(F.lit(1))
     starts = F.sequence(F.lit(1), F.greatest(F.length("_word"), F.lit(1)), F.lit(STRETCH))
-    stretch = F.substring(F.col("_word"), F.col("_start"), F.lit(STRETCH + ANCHOR_LENGTH - 1))
-    cut = words.withColumn("_start", F.explode(starts)).withColumn("_stretch", stretch)
-    runs = [F.substring("_stretch", i, n) for n in sizes for i in range(1, STRETCH + 1)]
+    cut = words.withColumn("_start", F.explode(F.when(there, once).otherwise(starts)))
+    cut = cut.withColumn("_stretch", F.substring(F.col("_word"), F.col("_start"), F.lit(STRETCH + ANCHOR_LENGTH - 1)))
+    places = F.sequence(F.lit(1), F.greatest(F.least(F.length("_stretch"), F.lit(STRETCH)), F.lit(1)))
+    cut = cut.withColumn("_place", F.explode(F.when(there, once).otherwise(places)))
     # Runs cut short at the word's end are anchors of a shorter kind, or of none.
-    whole = [F.when(F.length(r) == n, r) for r, n in zip(runs, [n for n in sizes for _ in range(STRETCH)])]
-    keys = F.array(*whole)
+    runs = [F.substring(F.col("_stretch"), F.col("_place"), F.lit(n)) for n in sizes]
+    keys = F.array(*(F.when(F.length(r) == n, r) for r, n in zip(runs, sizes)))
     if marked:
-        keys = F.when(F.col("_start") == 1, F.concat(keys, _keys(marked))).otherwise(keys)
-    return cut.withColumn("_key", F.explode(keys)).drop("_start", "_stretch").filter(F.col("_key").isNotNull())
+        keys = F.when((F.col("_start") == 1) & (F.col("_place") == 1), F.concat(keys, _keys(marked))).otherwise(keys)
+    return one_a_row(cut, keys)
 
 
 def _window_hit(one: TermSet, reach: int) -> Column:
     """Whether the joined index row's term is there, seen from ``_word`` and the words and gaps beside it."""
     term = F.col("term")
-    before, after = (F.coalesce(F.col(c), F.lit("")) if reach else F.lit("") for c in (_beside("w", -1), _beside("w", 1)))
+    before, after = (F.coalesce(_beside("_w", reach, d), F.lit("")) for d in (-1, 1))
     near = F.endswith(before, F.col("before")) & F.startswith(after, F.col("after"))
-    around = [F.col(_beside("w", d)) for d in range(-reach, reach + 1)]
     if one.clean:  # words and single blanks are all there is
-        window = F.array_join(F.slice(F.array(*around), reach + 1 - F.col("at"), F.col("size")), " ")
+        first = F.col("_p") + (reach + 2) - F.col("at")
+        window = F.array_join(F.slice(F.col("_w"), first, F.col("size")), " ")
         single = _holds(F.col("_word"), term, one.whole_word)
     else:
-        gaps = [F.col(_beside("g", d)) for d in range(-reach, reach + 1)]
-        every = F.array(F.col(_beside("g", -reach - 1)), *(c for pair in zip(around, gaps) for c in pair))
+        around = [c for d in range(-reach, reach + 1) for c in (_beside("_w", reach, d), _beside("_g", reach, d))]
+        every = F.array(_beside("_g", reach, -reach - 1), *around)
         window = F.array_join(F.slice(every, 2 * (reach - F.col("at")) + 1, 2 * F.col("size") + 1), "")
         single = F.contains("_word", term)
     if one.clean:
@@ -280,13 +322,17 @@ def _window_hit(one: TermSet, reach: int) -> Column:
     else:  # the gaps are part of the window, also the blanks around whole words
         held = F.contains(window, F.concat(F.lit(" "), term, F.lit(" ")) if one.whole_word else term)
     phrase = F.when(near, held)
-    lone = F.col("one_word") & F.lit(one.clean or not one.whole_word)
-    return F.coalesce(F.when(lone, single).otherwise(phrase), F.lit(False))
+    return F.coalesce(F.when(_lone(one), single).otherwise(phrase), F.lit(False))
 
 
-def _beside(kind: str, d: int) -> str:
-    """Column of the word (``w``) or of the gap after it (``g``) that is ``d`` words on."""
-    return "_word" if kind == "w" and d == 0 else f"_{kind}{'b' if d < 0 else 'a'}{abs(d)}"
+def _lone(one: TermSet) -> Column:
+    """Whether one word tells by itself if the filed term is there."""
+    return F.col("one_word") & F.lit(one.clean or not one.whole_word)
+
+
+def _beside(kind: str, reach: int, d: int) -> Column:
+    """The word (``_w``) or the gap after it (``_g``) that is ``d`` words on."""
+    return F.get(F.col(kind), F.col("_p") + (reach + 1 + d))
 
 
 def _shifted(items: Column, d: int) -> Column:
@@ -327,43 +373,121 @@ def _scanned(rows: DataFrame, one: TermSet, index: _Index, out: str) -> tuple[Da
     return rows, _Index(left, kept, index.count, index.size, (0, 0), index.reach)
 
 
-def _looked_up(rows: DataFrame, sets: list[TermSet], indexes: list[_Index], keep: list[str], carry: dict[str, Column]) -> DataFrame:
+def _text_words(sets: Sequence[TermSet]) -> Column:
+    """Rows of the number of a set, and the words and gaps of a text as the set sees them.
+
+    The outer form spares a test of the array that would split the text twice.
+    """
+    return F.inline_outer(F.array(*(F.struct(F.lit(i).alias("_set"), s.words().alias("_w"), s.gaps().alias("_g")) for i, s in enumerate(sets))))
+
+
+def _all_rows(sets: list[TermSet], indexes: list[_Index]) -> DataFrame:
+    """The filed terms of all sets, with the number ``_of`` of the set and what to ask for them.
+
+    ``_ask`` is a hash of set and anchor that tells in its last four bits how
+    many characters of the word after (5 and more) or before (5 and less) are
+    the term's side. Equal hashes do no harm: what is met is compared.
+    """
+    chars = F.length("side") - 1
+    beside = F.when(F.col("side") == "", 0).when(F.startswith("side", F.lit("<")), -chars).otherwise(chars)
+    ask = F.xxhash64("_of", "anchor").bitwiseAND(F.lit(-16)).bitwiseOR((beside + 5).cast("bigint"))
+    parts = [index.rows.withColumns({"_of": F.lit(i), "_lone": _lone(s)}) for i, (s, index) in enumerate(zip(sets, indexes))]
+    return reduce(DataFrame.unionByName, parts).withColumn("_ask", ask)
+
+
+def _known_words(docs: DataFrame, sets: list[TermSet], filed: DataFrame, kinds: Sequence[tuple[str, int]]) -> DataFrame:
+    """``(_of, _known_word, _asks)``: what the words that texts hold most often look up.
+
+    All words of all texts are counted; those that occur often, at most
+    KNOWN_WORDS, meet the filed terms once here. ``_asks`` is what such a word
+    has to ask for phrases, or just HIT if it holds a lone term. Which words are
+    known changes no answer: others look up all their anchors where they stand.
+    """
+    words = docs.select(_text_words(sets)).select("_set", F.explode("_w").alias("_word"))
+    words = words.filter((F.col("_word") != "") & (F.length("_word") <= KNOWN_LENGTH))
+    counted = words.groupBy("_set", "_word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= KNOWN_OFTEN)
+    counted = written(counted.withColumn("often", F.floor(4 * F.log2("n")).cast("int")), "vocabulary")
+    sizes = dict(counted.groupBy("often").agg(F.count(F.lit(1))).collect())  # at most 256 rows
+    least, room = 0, KNOWN_WORDS
+    for often in sorted(sizes, reverse=True):
+        room -= sizes[often]
+        if room < 0:
+            least = often + 1
+            break
+    words = counted.filter(F.col("often") >= least).select("_set", "_word")
+    met = _with_keys(words, kinds).join(F.broadcast(filed), (F.col("_key") == F.col("anchor")) & (F.col("_set") == F.col("_of")))
+    holds = reduce(lambda x, y: x | y, ((F.col("_set") == i) & _holds(F.col("_word"), F.col("term"), s.whole_word) for i, s in enumerate(sets)))
+    hit, asks = F.max(F.col("_lone") & holds), F.collect_set(F.when(~F.col("_lone"), F.col("_ask")))
+    met = met.groupBy("_set", "_word").agg(F.when(hit, F.array(F.lit(HIT).cast("bigint"))).otherwise(asks).alias("_asks"))
+    known = words.join(met, ["_set", "_word"], "left")
+    asks = F.coalesce("_asks", F.array().cast("array<bigint>"))
+    return written(known.select(F.col("_set").alias("_of"), F.col("_word").alias("_known_word"), asks.alias("_asks")), "known")
+
+
+def _looked_up(
+    rows: DataFrame, sets: list[TermSet], indexes: list[_Index], keep: list[str], carry: dict[str, Column], docs: DataFrame | None
+) -> DataFrame:
     """All sets' flags of every row, in one pass over the texts.
 
     ``rows`` has a key ``_row`` and a column ``_scan{i}`` for each set. ``carry``
-    is computed before texts are split, and a word takes along the few words
-    and gaps beside it that the phrases reach, never its whole text: a text of
-    many words would be copied once for each of them. An empty word in front of
-    every text finds a mark in the index, so that rows without a hit are kept.
+    is computed before texts are split. Words come from pieces of WORDS_ALONG
+    words and the few beside them that the phrases reach, never from a whole
+    text: a text of many words would be copied once for each of them. An empty
+    word in front of every text finds a mark in the index, so that rows without
+    a hit are kept. ``docs``, if given, are read once before, to know what the
+    words that occur often look up. Joins are by 64-bit hashes, and what they
+    bring together is compared as it is.
     """
     reach = max(index.reach for index in indexes)
-    raw = any(not s.clean for s in sets)
-    texts = F.array(*(F.struct(F.lit(i).alias("_set"), s.words().alias("_w"), s.gaps().alias("_g")) for i, s in enumerate(sets)))
     numbers = ["_row", *keep, *(f"_scan{i}" for i in range(len(sets))), *carry]
-    known = [c.alias(k) for k, c in carry.items()]
-    lists = rows.select(*(c for c in numbers if c not in carry), *known, texts.alias("_texts")).select(*numbers, F.inline("_texts"))
-    lists = lists.withColumn("_w", F.concat(F.array(F.lit("")), F.col("_w")))
-    shifts = {_beside("w", d): _shifted(F.col("_w"), d) for d in range(-reach, reach + 1)}
-    if raw:
-        shifts |= {_beside("g", d): _shifted(F.col("_g"), d) for d in range(-reach - 1, reach + 1)}
-    zipped = F.arrays_zip(*(c.alias(k) for k, c in shifts.items()))
-    words = lists.select(*numbers, "_set", F.posexplode(zipped).alias("_p", "_z"))
-    words = words.select(*numbers, "_set", "_p", *(F.col("_z")[k].alias(k) for k in shifts))
-    kinds = list(dict.fromkeys(k for index in indexes for k in index.kinds))
-    first = F.col("_p") == 0
-    keyed = _with_keys(words, [("=", 0), *(k for k in kinds if k != ("=", 0))])
-    shape = ("term", "one_word", "anchor", "before", "after", "at", "size")
-    marks = rows.sparkSession.range(len(sets)).select(
-        F.col("id").cast("int").alias("_of"), F.lit("=").alias("anchor"), F.lit(None).cast("string").alias("term")
+    given = [c.alias(k) for k, c in carry.items()]
+    lists = rows.select(*(c for c in numbers if c not in carry), *given, _text_words(sets))
+    outside = F.array_repeat(F.lit(None).cast("string"), reach + 1)
+    lists = lists.select(
+        *numbers,
+        "_set",
+        (F.size("_w") + 1).alias("_n"),
+        F.concat(outside, F.array(F.lit("")), F.col("_w"), outside).alias("_w"),
+        F.concat(outside, F.col("_g"), outside).alias("_g"),
     )
-    filed = [index.rows.select(*shape, F.lit(i).alias("_of")) for i, index in enumerate(indexes)]
-    index = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*filed, marks])
-    met = keyed.join(F.broadcast(index), (F.col("_key") == F.col("anchor")) & (F.col("_set") == F.col("_of")))
-    found = reduce(lambda x, y: x | y, ((F.col("_set") == i) & _window_hit(s, reach) for i, s in enumerate(sets)))
-    met = met.filter(F.when(F.col("term").isNull(), first).otherwise(found))
+
+    def piece(start: Column) -> Column:
+        along = F.lit(WORDS_ALONG + 2 * (reach + 1))
+        parts = {"w": F.slice("_w", start + 1, along), "g": F.slice("_g", start + 1, along)}
+        return F.struct(*(c.alias(k) for k, c in parts.items()), F.least(F.lit(WORDS_ALONG), F.col("_n") - start).alias("n"))
+
+    pieces = F.transform(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(WORDS_ALONG)), piece)
+    split = lists.select(*numbers, "_set", F.posexplode(pieces).alias("_p", "_z"))
+    split = split.select(*numbers, "_set", F.col("_p").alias("_piece"), F.col("_z.w").alias("_w"), F.col("_z.g").alias("_g"), F.col("_z.n").alias("_n"))
+    words = split.withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).withColumn("_word", _beside("_w", reach, 0))
+    kinds = list(dict.fromkeys(k for index in indexes for k in index.kinds))
+    filed = _all_rows(sets, indexes)
+    asks = F.when((F.col("_piece") == 0) & (F.col("_p") == 0), F.array(F.lit(KEEP).cast("bigint")))
+    if docs is not None:
+        often = _known_words(docs, sets, filed, kinds).withColumn("_known_hash", F.xxhash64("_of", "_known_word"))
+        same = (F.col("_set") == F.col("_of")) & (F.col("_word") == F.col("_known_word"))
+        words = words.join(F.broadcast(often), (F.xxhash64("_set", "_word") == F.col("_known_hash")) & same, "left")
+        asks = F.coalesce(asks, "_asks")
+    words = words.select(*numbers, "_set", "_w", "_g", "_p", "_word", asks.alias("_asks")).filter(F.col("_asks").isNull() | (F.size("_asks") > 0))
+    anchors = filed.groupBy(F.xxhash64("_of", "anchor").alias("_anchor")).agg(F.collect_set("_ask").alias("_there"))
+    keyed = _with_keys(words, kinds, F.when(F.col("_asks").isNotNull(), F.array(F.lit(""))))
+    keyed = keyed.withColumn("_key", F.when(F.col("_asks").isNull(), F.xxhash64("_set", "_key")))
+    keyed = keyed.join(F.broadcast(anchors), F.col("_key") == F.col("_anchor"), "left")
+    asking = keyed.withColumn("_ask", F.explode(F.coalesce("_asks", "_there"))).drop("_key", "_anchor", "_there", "_asks")
+    chars = F.col("_ask").bitwiseAND(F.lit(15)).cast("int") - 5
+    marked = F.col("_ask").isin(KEEP, HIT)
+    after, before = F.left(_beside("_w", reach, 1), chars), F.right(_beside("_w", reach, -1), -chars)
+    there = F.when(marked | (chars == 0), "").when(chars > 0, after).otherwise(before)
+    marks = rows.sparkSession.range(1).select(F.explode(F.array(*(F.lit(m).cast("bigint") for m in (KEEP, HIT)))).alias("_ask"), F.lit("").alias("side"))
+    shape = ("term", "one_word", "before", "after", "at", "size", "_of")
+    filed = filed.withColumn("side", F.substr("side", F.lit(2))).select("_ask", "side", *shape).unionByName(marks, allowMissingColumns=True)
+    filed = filed.select(F.xxhash64("_ask", "side").alias("_filed"), *shape)
+    met = asking.join(F.broadcast(filed), F.xxhash64("_ask", there) == F.col("_filed"))
+    found = reduce(lambda x, y: x | y, ((F.col("_set") == i) & (F.col("_of") == i) & _window_hit(s, reach) for i, s in enumerate(sets)))
+    met = met.filter(F.when(marked, F.col("term").isNull()).otherwise(F.col("term").isNotNull() & found))
     hits = []
     for i, s in enumerate(sets):
-        hit = ((F.col("_set") == i) & F.col("term").isNotNull()).cast("int")
+        hit = ((F.col("_set") == i) & (F.col("_ask") != KEEP)).cast("int")
         hits.append(F.greatest(F.max(hit), F.max(f"_scan{i}")).alias(s.flag))
     kept = [F.first(c).alias(c) for c in [*keep, *carry]]
     return met.groupBy("_row").agg(*kept, *hits).drop("_row")
@@ -470,6 +594,7 @@ def flag_sets(
     ``filed`` are the sets as ``file_sets`` made them ready, else that is done here.
     """
     carry = carry or {}
+    count_words = filed is None
     filed = file_sets(sets) if filed is None else filed
     plans, indexes = [f.plan for f in filed], [f.index for f in filed]
     if not sets or all(p == "scan" for p in plans):
@@ -511,7 +636,7 @@ def flag_sets(
             known.append(name)
     if not asked:
         return rows.withColumns(carry).select(*order)
-    return _looked_up(rows, asked, left, [*keep, *known], carry).select(*order)
+    return _looked_up(rows, asked, left, [*keep, *known], carry, docs if count_words else None).select(*order)
 
 
 def matching_ids(
