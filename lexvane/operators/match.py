@@ -33,7 +33,7 @@ blanks (or the ends of the text) around it. Three plans give the same answer:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -56,6 +56,8 @@ WORDS_ALONG = 64
 KNOWN_WORDS = 400_000
 KNOWN_OFTEN = 4
 KNOWN_LENGTH = 64
+# Words with a term, for each dictionary, that decide a text before it is taken apart.
+TELLING_WORDS = 256
 # What the word in front of every text asks, and a word that holds a term: no hash of an anchor ends so.
 KEEP, HIT = 0, 15
 # Rows that the terms filed for the scan plan are dealt to.
@@ -374,11 +376,11 @@ def _scanned(rows: DataFrame, one: TermSet, index: _Index, out: str) -> tuple[Da
 
 
 def _text_words(sets: Sequence[TermSet]) -> Column:
-    """Rows of the number of a set, and the words and gaps of a text as the set sees them.
+    """Rows of the number of a set and the words of a text as the set sees them.
 
     The outer form spares a test of the array that would split the text twice.
     """
-    return F.inline_outer(F.array(*(F.struct(F.lit(i).alias("_set"), s.words().alias("_w"), s.gaps().alias("_g")) for i, s in enumerate(sets))))
+    return F.inline_outer(F.array(*(F.struct(F.lit(i).alias("_set"), s.words().alias("_w")) for i, s in enumerate(sets))))
 
 
 def _all_rows(sets: list[TermSet], indexes: list[_Index]) -> DataFrame:
@@ -396,7 +398,7 @@ def _all_rows(sets: list[TermSet], indexes: list[_Index]) -> DataFrame:
 
 
 def _known_words(docs: DataFrame, sets: list[TermSet], filed: DataFrame, kinds: Sequence[tuple[str, int]]) -> DataFrame:
-    """``(_of, _known_word, _asks)``: what the words that texts hold most often look up.
+    """``(_of, _known_word, _asks, _n)``: what the words that texts hold most often look up.
 
     All words of all texts are counted; those that occur often, at most
     KNOWN_WORDS, meet the filed terms once here. ``_asks`` is what such a word
@@ -414,14 +416,29 @@ def _known_words(docs: DataFrame, sets: list[TermSet], filed: DataFrame, kinds:
         if room < 0:
             least = often + 1
             break
-    words = counted.filter(F.col("often") >= least).select("_set", "_word")
+    words = counted.filter(F.col("often") >= least).select("_set", "_word", "n")
     met = _with_keys(words, kinds).join(F.broadcast(filed), (F.col("_key") == F.col("anchor")) & (F.col("_set") == F.col("_of")))
     holds = reduce(lambda x, y: x | y, ((F.col("_set") == i) & _holds(F.col("_word"), F.col("term"), s.whole_word) for i, s in enumerate(sets)))
     hit, asks = F.max(F.col("_lone") & holds), F.collect_set(F.when(~F.col("_lone"), F.col("_ask")))
     met = met.groupBy("_set", "_word").agg(F.when(hit, F.array(F.lit(HIT).cast("bigint"))).otherwise(asks).alias("_asks"))
     known = words.join(met, ["_set", "_word"], "left")
     asks = F.coalesce("_asks", F.array().cast("array<bigint>"))
-    return written(known.select(F.col("_set").alias("_of"), F.col("_word").alias("_known_word"), asks.alias("_asks")), "known")
+    known = known.select(F.col("_set").alias("_of"), F.col("_word").alias("_known_word"), asks.alias("_asks"), F.col("n").alias("_n"))
+    return written(known, "known")
+
+
+def _telling_words(known: DataFrame, count: int) -> list[list[str]]:
+    """For each set, the TELLING_WORDS known words with a lone term that occur most often."""
+    telling = known.filter(F.array_contains("_asks", F.lit(HIT).cast("bigint")))
+    lists = []
+    for i in range(count):
+        rows = telling.filter(F.col("_of") == i).orderBy(F.desc("_n"), "_known_word").limit(TELLING_WORDS).collect()
+        lists.append([r["_known_word"] for r in rows])
+    return lists
+
+
+def _any_of(words: Column, wanted: list[str]) -> Column:
+    return F.exists(words, lambda word: word.isin(wanted))
 
 
 def _looked_up(
@@ -435,13 +452,32 @@ def _looked_up(
     text: a text of many words would be copied once for each of them. An empty
     word in front of every text finds a mark in the index, so that rows without
     a hit are kept. ``docs``, if given, are read once before, to know what the
-    words that occur often look up. Joins are by 64-bit hashes, and what they
-    bring together is compared as it is.
+    words that occur often look up; a text with one of the words that tell most
+    often is decided at the first of these, and none of its words go on. Joins
+    are by 64-bit hashes, and what they bring together is compared as it is.
     """
     reach = max(index.reach for index in indexes)
     numbers = ["_row", *keep, *(f"_scan{i}" for i in range(len(sets))), *carry]
-    given = [c.alias(k) for k, c in carry.items()]
+    kinds = list(dict.fromkeys(k for index in indexes for k in index.kinds))
+    filed = _all_rows(sets, indexes)
+    often = None if docs is None else _known_words(docs, sets, filed, kinds)
+    texts = list(dict.fromkeys(s.text_col for s in sets))
+    given = [F.col(c).alias(f"_text{i}") for i, c in enumerate(texts)] + [c.alias(k) for k, c in carry.items()]
     lists = rows.select(*(c for c in numbers if c not in carry), *given, _text_words(sets))
+    told = F.lit(False)
+    for i, words in enumerate([] if often is None else _telling_words(often, len(sets))):
+        if words:
+            told = told | ((F.col("_set") == i) & _any_of(F.col("_w"), words))
+    lists = lists.withColumn("_told", told)
+    gaps = nothing = F.array().cast("array<string>")
+    for i, s in enumerate(sets):
+        if not s.clean:
+            own = replace(s, text_col=f"_text{texts.index(s.text_col)}").gaps()
+            gaps = F.when((F.col("_set") == i) & ~F.col("_told"), own).otherwise(gaps)
+    scans = [F.greatest(F.col(f"_scan{i}"), (F.col("_told") & (F.col("_set") == i)).cast("int")).alias(f"_scan{i}") for i in range(len(sets))]
+    lists = lists.select(
+        *("_row", *keep, *scans, *carry, "_set"), F.when(F.col("_told"), nothing).otherwise(F.col("_w")).alias("_w"), gaps.alias("_g")
+    )
     outside = F.array_repeat(F.lit(None).cast("string"), reach + 1)
     lists = lists.select(
         *numbers,
@@ -460,14 +496,12 @@ def _looked_up(
     split = lists.select(*numbers, "_set", F.posexplode(pieces).alias("_p", "_z"))
     split = split.select(*numbers, "_set", F.col("_p").alias("_piece"), F.col("_z.w").alias("_w"), F.col("_z.g").alias("_g"), F.col("_z.n").alias("_n"))
     words = split.withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).withColumn("_word", _beside("_w", reach, 0))
-    kinds = list(dict.fromkeys(k for index in indexes for k in index.kinds))
-    filed = _all_rows(sets, indexes)
     asks = F.when((F.col("_piece") == 0) & (F.col("_p") == 0), F.array(F.lit(KEEP).cast("bigint")))
-    if docs is not None:
-        often = _known_words(docs, sets, filed, kinds).withColumn("_known_hash", F.xxhash64("_of", "_known_word"))
+    if often is not None:
+        often = often.drop("_n").withColumn("_known_hash", F.xxhash64("_of", "_known_word"))
+        words = words.join(F.broadcast(often), F.xxhash64("_set", "_word") == F.col("_known_hash"), "left")
         same = (F.col("_set") == F.col("_of")) & (F.col("_word") == F.col("_known_word"))
-        words = words.join(F.broadcast(often), (F.xxhash64("_set", "_word") == F.col("_known_hash")) & same, "left")
-        asks = F.coalesce(asks, "_asks")
+        asks = F.coalesce(asks, F.when(same, F.col("_asks")))
     words = words.select(*numbers, "_set", "_w", "_g", "_p", "_word", asks.alias("_asks")).filter(F.col("_asks").isNull() | (F.size("_asks") > 0))
     anchors = filed.groupBy(F.xxhash64("_of", "anchor").alias("_anchor")).agg(F.collect_set("_ask").alias("_there"))
     keyed = _with_keys(words, kinds, F.when(F.col("_asks").isNotNull(), F.array(F.lit(""))))

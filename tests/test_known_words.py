@@ -21,11 +21,13 @@ def test_terms_around_a_common_word_are_filed_by_what_is_beside_it(spark):
     assert {r["side"] for r in filed} == {f"<{t[:2]}" for t in terms}
 
 
+@pytest.mark.parametrize("known", [40, 1000])
 @pytest.mark.parametrize("whole_word", [False, True])
 @pytest.mark.parametrize("clean", [False, True])
-def test_known_and_other_words_give_the_same_flags(spark, monkeypatch, clean, whole_word):
+def test_known_and_other_words_give_the_same_flags(spark, monkeypatch, clean, whole_word, known):
     monkeypatch.setattr(M, "KNOWN_OFTEN", 2)
-    monkeypatch.setattr(M, "KNOWN_WORDS", 12)
+    monkeypatch.setattr(M, "KNOWN_WORDS", known)
+    monkeypatch.setattr(M, "TELLING_WORDS", 3)
     monkeypatch.setattr(M, "WORDS_ALONG", 3)
     rnd = random.Random(7)
     marks = [" "] if clean else MARKS
@@ -45,3 +47,12 @@ def test_known_and_other_words_give_the_same_flags(spark, monkeypatch, clean, wh
     want = {i: int(any(f" {x} " in f" {t or ''} " if whole_word else x in (t or "") for x in terms)) for i, t in enumerate(texts)}
     assert 0 < sum(want.values()) < len(texts)
     assert dict(map(tuple, got.collect())) == want
+
+
+def test_text_with_a_telling_word_is_decided_before_its_words_are_split_off(spark):
+    """Its words used to be looked up one by one, also after the first that told."""
+    texts = ["telling words", "x telling", "other words here", "a tellings", None] * 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    flagged = M.flag_sets(docs, [M.TermSet("hit", terms_of(spark, ["tell", "two here"]), "text", False, True, "indexed")], ["id"])
+    assert "IN (telling,tellings)" in flagged._jdf.queryExecution().optimizedPlan().toString().replace("tellings,telling", "telling,tellings")
+    assert [r["hit"] for r in flagged.orderBy("id").collect()] == [1, 1, 0, 1, 0] * 5
