@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lexvane.functions.text import clean_text
 from lexvane.storage import spread
 
+# Document numbers that are sent to all tasks at most.
+SENT_IDS = 2_000_000
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -123,13 +126,16 @@ def labelled_parts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def relation_texts(spark: SparkSession, sf: str) -> DataFrame:
+def relation_texts(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
     """``(l_orderkey, relations)``: the lines of an order as a literal list.
 
     Lines numbered 7 are written with a decimal part, and orders of a single
-    line with a trailing comma, as some exports do.
+    line with a trailing comma, as some exports do. With ``asked(asked_key)``
+    only the orders of these numbers are listed.
     """
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    if asked is not None:
+        lines = lines.join(asked, F.col("l_orderkey") == F.col("asked_key"), "left_semi")
     listed = lines.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("e")
     )
@@ -169,8 +175,12 @@ def wide_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def full_reports(spark: SparkSession, sf: str) -> DataFrame:
-    """Wide document reports with the relations of the order of the same number."""
-    relations = relation_texts(spark, sf)
+    """Wide document reports with the relations of the order of the same number.
+
+    Lines of orders that no document asks for are left out before they are listed.
+    """
+    ids = table(spark, sf, "documents").select(F.col("doc_id").alias("asked_key"))
+    relations = relation_texts(spark, sf, F.broadcast(ids) if ids.count() <= SENT_IDS else ids)
     wide = reports(spark, sf)
     joined = wide.join(relations, F.col("doc_id") == F.col("l_orderkey"), "left").drop("l_orderkey")
     return joined.withColumn(
